@@ -22,14 +22,14 @@ def _range_count(df: DataFrame, parts: int | None) -> int:
     return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_sorted(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted on ``order``, written once, with their range number
-    ``_part`` and their position ``_slot`` in it.
+def range_numbered(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted on ``order`` with their range number ``_part`` and their
+    position ``_slot`` in it.
 
     The sampled range bounds may differ between two evaluations, so the numbering is only
-    meaningful once it is written down; that is why this goes through the scratch folder.
+    meaningful once it is written down: see :func:`range_sorted`.
     """
-    placed = (
+    return (
         df.repartitionByRange(_range_count(df, parts), *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -37,7 +37,11 @@ def range_sorted(df: DataFrame, order: list[Column], parts: int | None = None) -
         .withColumn(_SLOT, F.col("_mid").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)))
         .drop("_mid")
     )
-    return written(placed, "ordered")
+
+
+def range_sorted(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """:func:`range_numbered`, written once to the shared scratch folder."""
+    return written(range_numbered(df, order, parts), "ordered")
 
 
 def _range_starts(sizes: DataFrame, totals: list[str], within: list[str]) -> DataFrame:
@@ -106,7 +110,7 @@ def with_running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: list[float], weight: str | None = None
+    df: DataFrame, group: list[str], value: str, probs: list[float], weight: str | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group as an array column ``edges``.
 
@@ -116,47 +120,38 @@ def exact_quantiles(
     n = F.sum(weight) if weight else F.count("*")
     counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(group, value)
+        .groupBy(*group, value)
         .agg(n.cast("long").alias("_n"))
         .filter("_n > 0")
     )
-    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, within=[group])
-    sizes = running.groupBy(group).agg(F.max("_upto").alias("_rows"))
-    wanted = sizes.select(
-        group,
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_i", "_p"),
-        "_rows",
-    ).withColumn("_pos", F.col("_p") * (F.col("_rows") - 1))
-    wanted = wanted.select(group, "_i", "_pos").groupBy(group).agg(
-        F.collect_list(F.struct("_i", "_pos")).alias("_wanted")  # one entry per probability
-    )
+    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, within=group)
+    asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    sizes = running.groupBy(*group).agg(F.max("_upto").alias("_rows"))
     # A row answers a position when its run of equal values covers floor or ceil of it.
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-    hits = (
-        running.join(wanted, group)
-        .select(
-            group,
-            value,
-            F.explode(
-                F.filter(
-                    "_wanted",
-                    lambda w: F.floor(w["_pos"]).between(first, last) | F.ceil(w["_pos"]).between(first, last),
-                )
-            ).alias("w"),
-        )
-        .select(group, "w._i", "w._pos", value)
+
+    def covered(q):
+        at = q["p"] * (F.col("_rows") - 1)
+        return F.floor(at).between(first, last) | F.ceil(at).between(first, last)
+
+    hits = running.join(sizes, group).select(
+        *group, value, "_rows", F.inline(F.filter(asked, covered))
     )
-    low, high = F.min(value).cast("double"), F.max(value).cast("double")
-    answers = hits.groupBy(group, "_i", "_pos").agg(low.alias("_lo"), high.alias("_hi"))
-    point = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))
-    return answers.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", point.alias("q")))), lambda s: s["q"]).alias("edges")
+    found = hits.groupBy(*group, "i", "p", "_rows").agg(
+        F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi")
+    )
+    at = F.col("p") * (F.col("_rows") - 1)
+    point = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (at - F.floor(at))
+    return found.groupBy(*group).agg(  # one entry per probability
+        F.transform(F.array_sort(F.collect_list(F.struct("i", point.alias("q")))), lambda e: e["q"]).alias("edges")
     )
 
 
-def approx_quantiles(df: DataFrame, group: str, value: str, probs: list[float], accuracy: int = 10000) -> DataFrame:
-    """One-pass mergeable alternative to :func:`exact_quantiles`, error 1/accuracy of the ranks."""
-    return df.groupBy(group).agg(F.percentile_approx(value, list(probs), accuracy).alias("edges"))
+def approx_quantiles(
+    df: DataFrame, group: list[str], value: str, probs: list[float], accuracy: int = 10000
+) -> DataFrame:
+    """One-pass mergeable alternative to :func:`exact_quantiles`; rank error 1/accuracy."""
+    return df.groupBy(*group).agg(F.percentile_approx(value, list(probs), accuracy).alias("edges"))
 
 
 def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:

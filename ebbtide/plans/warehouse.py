@@ -354,8 +354,8 @@ VIEWS = {
 }
 
 
-def create_views(spark: SparkSession, w: Warehouse) -> list[str]:
-    """Register tables and views for SQL; names are case-insensitive."""
+def create_views(spark: SparkSession, w: Warehouse, views: list[str] | None = None) -> list[str]:
+    """Register the tables and all (or the named) views for SQL; names are case-insensitive."""
     tables = {
         "customers": w.customers, "customer_events": w.events, "customer_features": w.features,
         "churn_predictions": w.predictions, "retention_actions": w.actions, "model_runs": w.model_runs,
@@ -366,7 +366,7 @@ def create_views(spark: SparkSession, w: Warehouse) -> list[str]:
             df.createOrReplaceTempView(name)
             made.append(name)
     for name, build in VIEWS.items():
-        if name == "v_model_performance_metrics" and w.model_runs is None:
+        if (views and name not in views) or (name == "v_model_performance_metrics" and w.model_runs is None):
             continue
         build(w).createOrReplaceTempView(name)
         made.append(name)

@@ -230,7 +230,7 @@ def _(x):
     f"""SELECT urgency, COUNT(*) AS alerts, COUNT(DISTINCT customer_id) AS customers FROM ({_ALERTS}) GROUP BY urgency""",
 )
 def _(x):
-    wh.create_views(x.spark, x.house)
+    wh.create_views(x.spark, x.house, ["v_realtime_churn_alerts"])
     return x.spark.sql(
         """SELECT URGENCY AS urgency, COUNT(*) AS alerts, COUNT(DISTINCT CUSTOMER_ID) AS customers
            FROM V_REALTIME_CHURN_ALERTS GROUP BY URGENCY"""
