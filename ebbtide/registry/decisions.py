@@ -276,12 +276,14 @@ def _(x):
 # --- set operations -----------------------------------------------------------------------------------------
 @query("k01_top_sets_intersection", _TOPS + "SELECT customerID FROM tops WHERE by_p <= top_n AND by_v <= top_n")
 def _(x):
-    return top_sets(x)[0].intersect(top_sets(x)[1])
+    by_p, by_v = top_sets(x)
+    return by_p.intersect(by_v)
 
 
 @query("k02_top_sets_difference", _TOPS + "SELECT customerID FROM tops WHERE by_v <= top_n AND by_p > top_n")
 def _(x):
-    return top_sets(x)[1].subtract(top_sets(x)[0])
+    by_p, by_v = top_sets(x)
+    return by_v.subtract(by_p)
 
 
 def top_sets(x):
