@@ -5,7 +5,7 @@ from ebbtide.registry.base import ORACLES, QUERIES
 
 def load_all() -> None:
     from ebbtide.registry import (  # noqa: F401
-        analysis, decisions, ordering, quality, warehouse,
+        analysis, cleaning, decisions, drift, ordering, quality, warehouse,
     )
 
 
