@@ -20,7 +20,7 @@ def score_counts(df: DataFrame, score: str, label: str, by: list[str] = ()) -> D
 
 
 def with_cumulative(
-    counts: DataFrame, score: str, by: list[str] = (), digits: int | None = None, parts: int | None = None
+    counts: DataFrame, score: str, by: list[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Positives and negatives at or above each score (``tp``, ``fp``).
 
@@ -32,7 +32,7 @@ def with_cumulative(
         above = W.partitionBy(*by).orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
         return counts.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
     totals = {"tp": F.col("pos"), "fp": F.col("neg")}
-    return with_running_totals(counts, [F.desc(score)], totals, list(by), parts)
+    return with_running_totals(counts, [F.desc(score)], totals, list(by))
 
 
 def threshold_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5, by: list[str] = ()) -> DataFrame:

@@ -1,8 +1,12 @@
-"""Global order without a single-task window: rank, NTILE, running totals, exact quantiles.
+"""Global order without an unbounded single-task window: rank, NTILE, running totals, quantiles.
 
-A window without PARTITION BY moves every row to one task. Here the rows are range-partitioned
-on the full sort key (so equal values of a hot key spread over tasks through the tie-break),
-numbered inside their range, and shifted by the small table of range sizes.
+A window without PARTITION BY moves every row to one task. That is only done here after a count
+has shown that the rows are few. Otherwise the rows are range-partitioned on the full sort key
+(so equal values of a hot key spread over tasks through the tie-break), numbered inside their
+range, and shifted by the small table of range sizes.
+
+The input is written once to the shared scratch folder before anything else: the count, the
+range sampling and the sort then read narrow written rows instead of recomputing their source.
 """
 
 from __future__ import annotations
@@ -13,15 +17,12 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import written
 
+BOUNDED_ROWS = 1_000_000  # rows that one task may sort
 _SLOT = "_slot"
 _PART = "_part"
 _OFFSET_BITS = 33  # layout of monotonically_increasing_id
 
 
-def _range_count(df: DataFrame, parts: int | None) -> int:
-    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_numbered(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted on ``order`` with their range number ``_part`` and their
     position ``_slot`` in it.
@@ -29,8 +30,9 @@ def range_numbered(df: DataFrame, order: list[Column], parts: int | None = None)
     The sampled range bounds may differ between two evaluations, so the numbering is only
     meaningful once it is written down: see :func:`range_sorted`.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.repartitionByRange(_range_count(df, parts), *order)
+        df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn(_PART, F.shiftright("_mid", _OFFSET_BITS).cast("int"))
@@ -52,16 +54,32 @@ def _range_starts(sizes: DataFrame, totals: list[str], within: list[str]) -> Dat
     )
 
 
-def with_rank(df: DataFrame, order: list[Column], name: str = "rank", parts: int | None = None) -> DataFrame:
-    """1-based global row number in ``order``; the order must end in a unique tie-break."""
-    placed = range_sorted(df, order, parts)
-    sizes = placed.groupBy(_PART).agg(F.count("*").alias("n"))
-    starts = _range_starts(sizes, ["n"], [])  # one row per range: bounded by the partition count
-    return (
-        placed.join(F.broadcast(starts), _PART)
-        .withColumn(name, F.col("_n_before") + F.col(_SLOT) + 1)
-        .drop(_PART, _SLOT, "_n_before")
-    )
+def with_ranks(df: DataFrame, ranks: dict[str, list[Column]], total: str | None = None) -> DataFrame:
+    """1-based global row numbers, one per named order, and optionally the row count.
+
+    Every order must end in a unique tie-break.
+    """
+    source = written(df, "ranked")
+    rows = source.count()
+    out = source.withColumn(total, F.lit(rows).cast("long")) if total else source
+    if rows <= BOUNDED_ROWS:
+        return out.withColumns(
+            {n: F.row_number().over(W.partitionBy().orderBy(*order)).cast("long") for n, order in ranks.items()}
+        )
+    for name, order in ranks.items():
+        placed = range_sorted(out, order)
+        sizes = placed.groupBy(_PART).agg(F.count("*").alias("n"))
+        starts = _range_starts(sizes, ["n"], [])  # one row per range: bounded by the partition count
+        out = (
+            placed.join(F.broadcast(starts), _PART)
+            .withColumn(name, F.col("_n_before") + F.col(_SLOT) + 1)
+            .drop(_PART, _SLOT, "_n_before")
+        )
+    return out
+
+
+def with_rank(df: DataFrame, order: list[Column], name: str = "rank", total: str | None = None) -> DataFrame:
+    return with_ranks(df, {name: order}, total)
 
 
 def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
@@ -76,28 +94,31 @@ def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
     )
 
 
-def with_ntile(
-    df: DataFrame, order: list[Column], tiles: int, name: str, parts: int | None = None
-) -> DataFrame:
-    ranked = with_rank(df, order, "_rank", parts)
-    rows = ranked.agg(F.count("*").alias("n")).scalar()
-    return ranked.withColumn(name, tile_of(F.col("_rank"), rows, tiles)).drop("_rank")
+def with_ntiles(df: DataFrame, tiles: int, orders: dict[str, list[Column]]) -> DataFrame:
+    """NTILE numbers over all rows, one per named order."""
+    ranked = with_ranks(df, {f"_rank_{n}": order for n, order in orders.items()}, "_rows")
+    return ranked.withColumns(
+        {n: tile_of(F.col(f"_rank_{n}"), F.col("_rows"), tiles) for n in orders}
+    ).drop("_rows", *[f"_rank_{n}" for n in orders])
 
 
 def with_running_totals(
-    df: DataFrame,
-    order: list[Column],
-    totals: dict[str, Column],
-    within: list[str] = (),
-    parts: int | None = None,
+    df: DataFrame, order: list[Column], totals: dict[str, Column], within: list[str] = (), rows: int | None = None
 ) -> DataFrame:
     """Inclusive running totals of ``totals`` in ``order``, per group of ``within``.
 
-    ``within`` groups may be few and large: the range partitioning cuts through them.
+    ``within`` groups may be few and large: the range partitioning cuts through them. Pass
+    ``rows`` when ``df`` is already a written table with that many rows.
     """
     within = list(within)
+    if rows is None:
+        df = written(df, "running")
+        rows = df.count()
+    if rows <= BOUNDED_ROWS:
+        upto = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumns({t: F.sum(c).over(upto) for t, c in totals.items()})
     amounts = df.withColumns({f"_x_{t}": c for t, c in totals.items()})
-    placed = range_sorted(amounts, [*[F.col(c) for c in within], *order], parts)
+    placed = range_sorted(amounts, [*[F.col(c) for c in within], *order])
     sizes = placed.groupBy(*within, _PART).agg(*[F.sum(f"_x_{t}").alias(t) for t in totals])
     starts = _range_starts(sizes, list(totals), within)
     local = W.partitionBy(*within, _PART).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, 0)
@@ -115,18 +136,19 @@ def exact_quantiles(
     """Exact linearly interpolated quantiles per group as an array column ``edges``.
 
     The rows are first reduced to one per (group, value), so a hot value costs one row; the
-    order statistics are then found through running counts, never by collecting a group.
+    order statistics are then found through running counts, never by collecting a group. With
+    ``weight`` the input is such a reduced and written table already.
     """
-    n = F.sum(weight) if weight else F.count("*")
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, value)
-        .agg(n.cast("long").alias("_n"))
-        .filter("_n > 0")
-    )
-    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, within=group)
+    if weight is None:
+        known = df.filter(F.col(value).isNotNull())
+        counts = written(known.groupBy(*group, value).agg(F.count("*").alias("_n")), "quantiles")
+    else:
+        counts = df.filter(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
+            *group, value, F.col(weight).alias("_n")
+        )
+    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, group, counts.count())
     asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    sizes = running.groupBy(*group).agg(F.max("_upto").alias("_rows"))
+    sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_rows"))
     # A row answers a position when its run of equal values covers floor or ceil of it.
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
 

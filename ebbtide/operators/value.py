@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ebbtide.config import DEFAULTS, Settings
 from ebbtide.functions.numeric import count_of, exact_avg, exact_sum, looked_up, rounded, rounded_total
 from ebbtide.functions.risk import lifetime_value, risk_level, value_at_risk
-from ebbtide.operators.ordered import top_rows, with_rank
+from ebbtide.operators.ordered import top_rows, with_rank, with_ranks
 from ebbtide.vocab import ACTION_REASONS, ID, URGENCY
 
 
@@ -27,20 +27,25 @@ def top_count(rows: Column, share: float) -> Column:
 
 def with_priority(valued: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Priority rank over all customers (ties by id) and the flag of the top share."""
-    ranked = with_rank(valued, [F.desc("priority_score"), F.asc(ID)], "priority_rank")
-    rows = ranked.agg(F.count("*").alias("n")).scalar()
-    return ranked.withColumn("priority_flag", F.col("priority_rank") <= top_count(rows, cfg.top_share))
+    ranked = with_rank(valued, [F.desc("priority_score"), F.asc(ID)], "priority_rank", total="_rows")
+    flagged = F.col("priority_rank") <= top_count(F.col("_rows"), cfg.top_share)
+    return ranked.withColumn("priority_flag", flagged).drop("_rows")
 
 
 def prioritization_shift(valued: DataFrame, share: float = DEFAULTS.top_share) -> DataFrame:
     """How the top share differs when ranked by value at risk instead of probability.
 
-    Both top sets are a share of all customers, so both come from the distributed rank.
+    Both top sets are a share of all customers, so both come from global ranks.
     """
-    slim = valued.select(ID, "churn_probability", "revenue_at_risk")
-    by_p = with_rank(slim, [F.desc("churn_probability"), F.asc(ID)], "_rank_p")
-    both = with_rank(by_p, [F.desc("revenue_at_risk"), F.asc(ID)], "_rank_v")
-    n = top_count(both.agg(F.count("*").alias("n")).scalar(), share)
+    both = with_ranks(
+        valued.select(ID, "churn_probability", "revenue_at_risk"),
+        {
+            "_rank_p": [F.desc("churn_probability"), F.asc(ID)],
+            "_rank_v": [F.desc("revenue_at_risk"), F.asc(ID)],
+        },
+        total="_rows",
+    )
+    n = top_count(F.col("_rows"), share)
     in_p, in_v = F.col("_rank_p") <= F.col("_n"), F.col("_rank_v") <= F.col("_n")
     return (
         both.withColumn("_n", n)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import count_of, exact_avg, exact_sum, number_or_null, rounded, rounded_total
 from ebbtide.functions.risk import at_risk, risk_ordinal
-from ebbtide.operators.ordered import top_rows, with_ntile, with_rank
+from ebbtide.operators.ordered import top_rows, with_ntiles, with_rank
 from ebbtide.operators.skew import spread_join
 from ebbtide.vocab import ALERT_EVENTS, ID, WAREHOUSE_NAMES
 
@@ -74,7 +74,7 @@ def actions_table(decided: DataFrame) -> DataFrame:
 
 
 def with_sequence_key(df: DataFrame, order: list[Column], prefix: str, name: str) -> DataFrame:
-    """Synthetic keys ``prefix-00000...`` in ``order`` from the distributed rank."""
+    """Synthetic keys ``prefix-00000...`` in ``order`` from the global rank."""
     return (
         with_rank(df, order, "_n")
         .withColumn(name, F.format_string(f"{prefix}-%05d", F.col("_n") - 1))
@@ -120,7 +120,7 @@ def customer_360(w: Warehouse) -> DataFrame:
 
 
 def rfm_metrics(w: Warehouse) -> DataFrame:
-    """Three quintiles over the whole base, 1 = highest, each from a distributed rank."""
+    """Three quintiles over the whole base, 1 = highest, from global ranks."""
     out = w.features.select(
         "customer_id",
         F.col("tenure").alias("monetary_tenure_months"),
@@ -130,13 +130,13 @@ def rfm_metrics(w: Warehouse) -> DataFrame:
         F.col("recent_events_count").alias("activity_frequency"),
         F.col("complaint_count").alias("risk_frequency"),
     )
-    for measure, tile in [
-        ("cumulative_spend", "monetary_quintile"),
-        ("monetary_tenure_months", "recency_quintile"),
-        ("service_frequency", "frequency_quintile"),
-    ]:
-        out = with_ntile(out, [F.desc_nulls_last(measure), F.asc("customer_id")], 5, tile)
-    return out
+    tiles = {
+        "monetary_quintile": "cumulative_spend",
+        "recency_quintile": "monetary_tenure_months",
+        "frequency_quintile": "service_frequency",
+    }
+    orders = {tile: [F.desc_nulls_last(m), F.asc("customer_id")] for tile, m in tiles.items()}
+    return with_ntiles(out, 5, orders)
 
 
 def churn_correlations(w: Warehouse) -> DataFrame:

@@ -17,12 +17,11 @@ from ebbtide.registry.base import money, query
 )
 def _(x):
     order = [F.desc("MonthlyCharges"), F.asc("customerID")]
-    ranked = ordered.with_rank(x.raw.select("customerID", "MonthlyCharges"), order, "_rank")
-    rows = ranked.agg(F.count("*").alias("n")).scalar()
+    ranked = ordered.with_rank(x.raw.select("customerID", "MonthlyCharges"), order, "_rank", total="_rows")
     return ranked.select(
         "customerID",
-        ordered.tile_of(F.col("_rank"), rows, 5).alias("quintile"),
-        ordered.tile_of(F.col("_rank"), rows, 7).alias("seventh"),
+        ordered.tile_of(F.col("_rank"), F.col("_rows"), 5).alias("quintile"),
+        ordered.tile_of(F.col("_rank"), F.col("_rows"), 7).alias("seventh"),
     )
 
 
