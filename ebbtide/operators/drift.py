@@ -133,15 +133,18 @@ def drift_report(
     df: DataFrame, score: str | None = "churn_probability", side: str = "side", scenario: str = "reference-vs-current",
     cfg: Settings = DEFAULTS,
 ) -> DataFrame:
-    """One row: status, feature summary, prediction index. The share is compared after rounding."""
-    summary = drift_summary(feature_drift(df, side=side, cfg=cfg), cfg)
-    if score:
-        predicted = prediction_drift(df, score, side, cfg).select(F.struct("psi", "drifted").alias("p")).scalar()
-    else:
-        predicted = F.lit(None).cast("struct<psi:double,drifted:boolean>")
+    """One row: status, feature summary, prediction index. The share is compared after rounding.
+
+    The score is measured in the same pass as the numeric features.
+    """
+    numeric = [*MONITOR_NUMERIC, score] if score else MONITOR_NUMERIC
+    measured = written(feature_drift(df, numeric, side=side, cfg=cfg), "drift")  # one row per feature
+    is_score = F.col("feature") == (score or "")
+    predicted = measured.filter(is_score).select(F.struct("psi", "drifted")).scalar()
     retrain = (F.col("share_drifted") > cfg.max_drifted_share) | F.coalesce(F.col("_p.drifted"), F.lit(False))
     return (
-        summary.withColumn("_p", predicted)
+        drift_summary(measured.filter(~is_score), cfg)
+        .withColumn("_p", predicted)
         .withColumns(
             {
                 "scenario": F.lit(scenario),
