@@ -1 +1 @@
-
+"""Spark ML pipelines: preparation, candidates, tuning, calibration, segmentation."""

@@ -5,7 +5,7 @@ from ebbtide.registry.base import ORACLES, QUERIES
 
 def load_all() -> None:
     from ebbtide.registry import (  # noqa: F401
-        analysis, cleaning, decisions, drift, ingest, ordering, quality, streams, warehouse,
+        analysis, cleaning, decisions, drift, ingest, modelling, ordering, quality, streams, warehouse,
     )
 
 
