@@ -8,7 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, Settings
@@ -23,7 +23,7 @@ from ebbtide.vocab import CATEGORICAL, ID
 _P = "churn_probability"
 
 
-def _logit(c) -> F.Column:
+def _logit(c: str) -> Column:
     p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), F.col(c)))
     return F.ln(p / (1 - p))
 
@@ -95,8 +95,11 @@ def next_version(registry: DataFrame, name: str) -> DataFrame:
 
 def run_log(metrics: DataFrame, prefix: str, name: str, params: dict | None = None, tags: dict | None = None) -> DataFrame:
     """Runs in long form: run, kind (metric, param, tag), key, value."""
+    def entry(kind: str, key: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), value.alias("value"))
+
     measured = [c for c, t in metrics.dtypes if t in ("double", "bigint", "int") and c != name]
-    entries = [F.struct(F.lit("metric").alias("kind"), F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in measured]
+    entries = [entry("metric", c, F.col(c).cast("string")) for c in measured]
     for kind, items in (("param", params), ("tag", tags)):
-        entries += [F.struct(F.lit(kind), F.lit(k), F.lit(str(v))) for k, v in (items or {}).items()]
+        entries += [entry(kind, k, F.lit(str(v))) for k, v in (items or {}).items()]
     return metrics.select(F.concat(F.lit(f"{prefix}-"), F.col(name)).alias("run"), F.inline(F.array(*entries)))

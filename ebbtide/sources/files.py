@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.session import written
 from ebbtide.vocab import GATE_COLUMNS, GATE_MIN_ROWS, RAW_COLUMNS
 
 _NOT_TEXT = {"SeniorCitizen": T.IntegerType(), "tenure": T.IntegerType(), "MonthlyCharges": T.DoubleType()}
@@ -51,12 +52,18 @@ def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_
 
 
 def copy_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """Bulk load that goes on after bad lines: (good rows, quarantined lines)."""
+    """Bulk load that goes on after bad lines: (good rows, quarantined lines).
+
+    The parsed rows are written once: a pruned CSV scan would not notice bad cells of unread
+    columns, and both sides would parse the file again.
+    """
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(kept).options(
-        # Without column pruning every cell is parsed, whichever columns are read later.
-        header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False
-    ).csv(path)
+    rows = written(
+        spark.read.schema(kept)
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        .csv(path),
+        "parsed",
+    )
     bad = F.col(CORRUPT).isNotNull()
     return rows.filter(~bad).drop(CORRUPT), rows.filter(bad).select(*schema.names[:1], CORRUPT)
 
