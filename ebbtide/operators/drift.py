@@ -37,7 +37,7 @@ def _psi(cells: DataFrame) -> DataFrame:
     c = F.greatest(F.lit(_FLOOR), F.try_divide("cur", "cur_n"))
     empty = (F.col("ref_n") == 0) | (F.col("cur_n") == 0)
     return (
-        cells.join(sizes, "feature")
+        cells.join(F.broadcast(sizes), "feature")  # one row per monitored feature
         .groupBy("feature")
         .agg(F.sum(F.when(empty, 0.0).otherwise((c - r) * F.ln(c / r))).alias("psi"))
     )

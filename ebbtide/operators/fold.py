@@ -2,8 +2,8 @@
 
 Each event is the map x -> min(hi, max(lo, x + d)); such maps compose into maps of the same
 form. So a customer's history can be cut into slices of the global (customer, time) order,
-folded slice by slice in parallel, and chained: a customer who holds a third of all events is
-spread over a third of the tasks, and no task ever holds a whole history.
+folded slice by slice in parallel, and the slices folded again: a customer who holds a third of
+all events is spread over a third of the tasks, and no task ever holds a whole history.
 
 Amounts are integers in units of 1e-9, so every grouping of the composition gives equal results.
 """
@@ -15,99 +15,108 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ebbtide.functions.risk import event_delta
-from ebbtide.operators.ordered import _PART, _SLOT, range_numbered
+from ebbtide.operators.ordered import _PART, _SLOT, range_count, range_numbered
+from ebbtide.operators.skew import spread_join
 from ebbtide.session import written
 
 UNIT = 1_000_000_000
-_MAP = ["d", "lo", "hi"]
+_MAP = ["_d", "_lo", "_hi"]
+_IDENTITY = (0, 0, UNIT)
 
 
-def prefix_maps(owner: np.ndarray, delta: np.ndarray, first=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefix_maps(
+    owner: np.ndarray, d: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None, first=None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Composition of all maps up to each row, restarted where the owner changes.
 
     ``first`` continues the first owner's run from an earlier batch. Doubling steps keep it
     vectorised: after step s each row has absorbed its 2**s predecessors.
     """
-    n = len(delta)
-    d, lo, hi = delta.astype(np.int64), np.zeros(n, np.int64), np.full(n, UNIT, np.int64)
+    n = len(d)
+    d = d.astype(np.int64)
+    lo = np.zeros(n, np.int64) if lo is None else lo.astype(np.int64)
+    hi = np.full(n, UNIT, np.int64) if hi is None else hi.astype(np.int64)
+
+    def after(rows, fd, flo, fhi):
+        return (
+            fd + d[rows],
+            np.minimum(hi[rows], np.maximum(lo[rows], flo + d[rows])),
+            np.minimum(hi[rows], np.maximum(lo[rows], fhi + d[rows])),
+        )
+
     starts = np.empty(n, bool)
     starts[0], starts[1:] = True, owner[1:] != owner[:-1]
     offset = np.arange(n) - np.maximum.accumulate(np.where(starts, np.arange(n), 0))
     if first is not None:
-        d[0], lo[0], hi[0] = (
-            first[0] + d[0],
-            min(UNIT, max(0, first[1] + d[0])),
-            min(UNIT, max(0, first[2] + d[0])),
-        )
-    step, longest = 1, int(offset.max()) if n else 0
+        d[0], lo[0], hi[0] = after(0, *first)
+    step, longest = 1, int(offset.max())
     while step <= longest:
         rows = np.nonzero(offset >= step)[0]
-        before = rows - step
-        nd = d[before] + d[rows]
-        nlo = np.minimum(hi[rows], np.maximum(lo[rows], lo[before] + d[rows]))
-        nhi = np.minimum(hi[rows], np.maximum(lo[rows], hi[before] + d[rows]))
-        d[rows], lo[rows], hi[rows] = nd, nlo, nhi
+        d[rows], lo[rows], hi[rows] = after(rows, d[rows - step], lo[rows - step], hi[rows - step])
         step *= 2
     return d, lo, hi
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per range partition, in order: the composed map before and after each event. State
-    between batches is one map, so memory does not grow with the partition."""
+    """Rows sorted by owner: replace each row's map by the composition up to it, and add the
+    composition before it. State between batches is one map, so memory does not grow with the
+    partition."""
     last_owner, last = None, None
     for pdf in batches:
         if pdf.empty:
             continue
-        owner = pdf["_owner"].to_numpy()
+        owner = pdf["customer_id"].to_numpy()
         carried = last if last is not None and owner[0] == last_owner else None
-        after = prefix_maps(owner, pdf["_delta"].to_numpy(), carried)
+        composed = prefix_maps(owner, *(pdf[c].to_numpy() for c in _MAP), carried)
         fresh = np.empty(len(pdf), bool)
-        fresh[0], fresh[1:] = carried is None, owner[1:] != owner[:-1]
-        start = carried if carried is not None else (0, 0, UNIT)
-        for name, values, identity, s in zip(_MAP, after, (0, 0, UNIT), start):
-            prior = np.concatenate(([s], values[:-1]))
-            pdf[f"_{name}_before"] = np.where(fresh, identity, prior)
-            pdf[f"_{name}"] = values
-        last_owner, last = owner[-1], tuple(int(v[-1]) for v in after)
+        fresh[0], fresh[1:] = True, owner[1:] != owner[:-1]
+        for name, values, identity in zip(_MAP, composed, _IDENTITY):
+            before = np.where(fresh, identity, np.concatenate(([identity], values[:-1])))
+            if carried is not None:
+                before[0] = carried[_MAP.index(name)]
+            pdf[f"{name}_before"], pdf[name] = before, values
+        last_owner, last = owner[-1], tuple(int(v[-1]) for v in composed)
         yield pdf
 
 
-def _apply(p: Column, prefix: str) -> Column:
-    return F.least(F.col(f"_hi{prefix}"), F.greatest(F.col(f"_lo{prefix}"), p + F.col(f"_d{prefix}")))
+def _composed(rows: DataFrame) -> DataFrame:
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
+    return rows.mapInPandas(_scan, ", ".join([*fields, *[f"{m}_before long" for m in _MAP]]))
 
 
 def _scanned(events: DataFrame, order: list[str], parts: int | None) -> DataFrame:
-    """Events in global (customer, order) ranges with the maps composed within each range; the
-    range shuffle, the scan and the write are one job."""
-    keyed = events.withColumns(
-        {"_owner": F.col("customer_id"), "_delta": (event_delta("event_type") * F.lit(UNIT)).cast("long")}
+    """Events in ranges of the global (customer, order) order with the maps composed within each
+    range; the range shuffle, the scan and the write are one job."""
+    known = events.filter(F.col("customer_id").isNotNull()).withColumns(
+        {
+            "_d": (event_delta("event_type") * F.lit(UNIT)).cast("long"),
+            "_lo": F.lit(0).cast("long"),
+            "_hi": F.lit(UNIT).cast("long"),
+        }
     )
-    keys = [F.col("_owner"), *[F.col(c) for c in order]]
-    placed = range_numbered(keyed, keys, parts)
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields]
-    maps = [f"_{name}{suffix} long" for name in _MAP for suffix in ("_before", "")]
-    return written(placed.mapInPandas(_scan, ", ".join([*fields, *maps])), "risk-scan")
+    source = written(known, "events")
+    keys = [F.col("customer_id"), *[F.col(c) for c in order]]
+    return written(_composed(range_numbered(source, keys, parts or range_count(source, source.count()))), "risk-scan")
 
 
 def _slices(scanned: DataFrame) -> DataFrame:
-    """One row per (customer, range): the map of the whole slice and its event count."""
-    return scanned.groupBy("customer_id", _PART).agg(
-        F.max_by(F.struct(*[F.col(f"_{m}").alias(m) for m in _MAP]), _SLOT).alias("m"), F.count("*").alias("n")
+    """One row per (customer, range): the map of the slice, and of all the customer's earlier
+    slices. A customer has at most one slice per range, so even the busiest one is small here."""
+    maps = scanned.groupBy("customer_id", _PART).agg(
+        *[F.max_by(m, _SLOT).alias(m) for m in _MAP], F.count("*").alias("n")
     )
+    return _composed(maps.repartition("customer_id").sortWithinPartitions("customer_id", _PART))
 
 
 def _opened(start: DataFrame) -> DataFrame:
     return start.withColumn("_p0", (F.col("churn_probability").cast("decimal(18,9)") * UNIT).cast("long"))
 
 
-def _chained(maps: Column) -> Column:
-    return F.aggregate(
-        maps, F.col("_p0"), lambda p, m: F.least(m["hi"], F.greatest(m["lo"], p + m["d"]))
-    )
+def _apply(p: Column, suffix: str = "") -> Column:
+    return F.least(F.col(f"_hi{suffix}"), F.greatest(F.col(f"_lo{suffix}"), p + F.col(f"_d{suffix}")))
 
 
 def _as_probability(units: Column) -> Column:
@@ -123,21 +132,18 @@ def risk_path(
     Events of unknown customers do not appear; see :func:`unknown_customer_events`.
     """
     scanned = _scanned(events, order, parts)
-    earlier = W.partitionBy("customer_id").orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    carried = [c for c in start.columns if c not in ("customer_id", "churn_probability")]
     entry = (
         _slices(scanned)
-        .withColumn("_chain", F.collect_list("m").over(earlier))  # at most one map per range
         .join(_opened(start), "customer_id")
-        .withColumn("_entry", _chained(F.col("_chain")))
-        .drop("m", "n", "_chain", "_p0", "churn_probability")
+        .select("customer_id", _PART, *carried, _apply(F.col("_p0"), "_before").alias("_entry"))
     )
-    steps = scanned.join(entry, ["customer_id", _PART])
-    carried = [c for c in start.columns if c not in ("customer_id", "churn_probability")]
-    return steps.select(
+    # Joined per (customer, range): a busy customer's events stay spread over many tasks.
+    return scanned.join(entry, ["customer_id", _PART]).select(
         *events.columns,
         *carried,
         _as_probability(_apply(F.col("_entry"), "_before")).alias("previous_probability"),
-        _as_probability(_apply(F.col("_entry"), "")).alias("new_probability"),
+        _as_probability(_apply(F.col("_entry"))).alias("new_probability"),
     )
 
 
@@ -148,23 +154,23 @@ def final_risk(
 
     Only the slice maps are brought together per customer, never the events.
     """
-    chains = (
+    whole = (
         _slices(_scanned(events, order, parts))
         .groupBy("customer_id")
-        .agg(
-            F.array_sort(F.collect_list(F.struct(_PART, "m"))).alias("_chain"),  # at most one map per range
-            F.sum("n").cast("long").alias("n_events"),
-        )
+        .agg(*[F.max_by(m, _PART).alias(m) for m in _MAP], F.sum("n").cast("long").alias("n_events"))
     )
-    maps = F.transform(F.coalesce("_chain", F.array()), lambda e: e["m"])
+    p = F.when(F.col("_d").isNull(), F.col("_p0")).otherwise(_apply(F.col("_p0")))
     return (
         _opened(start)
-        .join(chains, "customer_id", "left")
-        .withColumns({"current_probability": _as_probability(_chained(maps)), "n_events": F.coalesce("n_events", F.lit(0))})
-        .drop("_chain", "_p0")
+        .join(whole, "customer_id", "left")
+        .withColumns({"current_probability": _as_probability(p), "n_events": F.coalesce("n_events", F.lit(0))})
+        .drop("_p0", *_MAP)
     )
 
 
 def unknown_customer_events(events: DataFrame, start: DataFrame) -> DataFrame:
     """Events whose customer is not scored: the reject side output."""
-    return events.join(start.select("customer_id"), "customer_id", "left_anti")
+    known = start.select("customer_id")
+    if events.isStreaming:
+        return events.join(known, "customer_id", "left_anti")
+    return spread_join(events, known, "customer_id", F.col("event_id"), how="left_anti")

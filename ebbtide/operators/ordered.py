@@ -18,19 +18,24 @@ from pyspark.sql import functions as F
 from ebbtide.session import written
 
 BOUNDED_ROWS = 1_000_000  # rows that one task may sort
+RANGE_ROWS = 10_000_000  # rows per range when there are many
 _SLOT = "_slot"
 _PART = "_part"
 _OFFSET_BITS = 33  # layout of monotonically_increasing_id
 
 
-def range_numbered(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+def range_count(df: DataFrame, rows: int) -> int:
+    """Ranges for this many rows: the session's shuffle partitions, and more when rows demand it."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
+
+
+def range_numbered(df: DataFrame, order: list[Column], parts: int) -> DataFrame:
     """Rows range-partitioned and sorted on ``order`` with their range number ``_part`` and their
     position ``_slot`` in it.
 
     The sampled range bounds may differ between two evaluations, so the numbering is only
     meaningful once it is written down: see :func:`range_sorted`.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
@@ -41,16 +46,21 @@ def range_numbered(df: DataFrame, order: list[Column], parts: int | None = None)
     )
 
 
-def range_sorted(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+def range_sorted(df: DataFrame, order: list[Column], parts: int) -> DataFrame:
     """:func:`range_numbered`, written once to the shared scratch folder."""
     return written(range_numbered(df, order, parts), "ordered")
 
 
 def _range_starts(sizes: DataFrame, totals: list[str], within: list[str]) -> DataFrame:
-    """Per range, the totals of all earlier ranges: one row per range (and group)."""
-    before = W.partitionBy(*within).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    """Per range, the totals of all earlier ranges and of the whole group: one row per range (and
+    group)."""
+    whole = W.partitionBy(*within)
+    before = whole.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
     return sizes.select(
-        *within, _PART, *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_{t}_before") for t in totals]
+        *within,
+        _PART,
+        *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_{t}_before") for t in totals],
+        *[F.sum(t).over(whole).alias(f"{t}_all") for t in totals],
     )
 
 
@@ -67,13 +77,13 @@ def with_ranks(df: DataFrame, ranks: dict[str, list[Column]], total: str | None
             {n: F.row_number().over(W.partitionBy().orderBy(*order)).cast("long") for n, order in ranks.items()}
         )
     for name, order in ranks.items():
-        placed = range_sorted(out, order)
+        placed = range_sorted(out, order, range_count(out, rows))
         sizes = placed.groupBy(_PART).agg(F.count("*").alias("n"))
         starts = _range_starts(sizes, ["n"], [])  # one row per range: bounded by the partition count
         out = (
             placed.join(F.broadcast(starts), _PART)
             .withColumn(name, F.col("_n_before") + F.col(_SLOT) + 1)
-            .drop(_PART, _SLOT, "_n_before")
+            .drop(_PART, _SLOT, "_n_before", "n_all")
         )
     return out
 
@@ -105,20 +115,25 @@ def with_ntiles(df: DataFrame, tiles: int, orders: dict[str, list[Column]]) -> D
 def with_running_totals(
     df: DataFrame, order: list[Column], totals: dict[str, Column], within: list[str] = (), rows: int | None = None
 ) -> DataFrame:
-    """Inclusive running totals of ``totals`` in ``order``, per group of ``within``.
+    """Inclusive running totals of ``totals`` in ``order`` per group of ``within``, and the group's
+    whole totals as ``<name>_all``.
 
-    ``within`` groups may be few and large: the range partitioning cuts through them. Pass
-    ``rows`` when ``df`` is already a written table with that many rows.
+    ``within`` groups may be few and large: the range partitioning cuts through them, and no join
+    is on the group alone. Pass ``rows`` when ``df`` is a written table with that many rows.
     """
     within = list(within)
     if rows is None:
         df = written(df, "running")
         rows = df.count()
     if rows <= BOUNDED_ROWS:
-        upto = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({t: F.sum(c).over(upto) for t, c in totals.items()})
+        whole = W.partitionBy(*within)
+        upto = whole.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumns(
+            {t: F.sum(c).over(upto) for t, c in totals.items()}
+            | {f"{t}_all": F.sum(c).over(whole) for t, c in totals.items()}
+        )
     amounts = df.withColumns({f"_x_{t}": c for t, c in totals.items()})
-    placed = range_sorted(amounts, [*[F.col(c) for c in within], *order])
+    placed = range_sorted(amounts, [*[F.col(c) for c in within], *order], range_count(df, rows))
     sizes = placed.groupBy(*within, _PART).agg(*[F.sum(f"_x_{t}").alias(t) for t in totals])
     starts = _range_starts(sizes, list(totals), within)
     local = W.partitionBy(*within, _PART).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, 0)
@@ -148,17 +163,14 @@ def exact_quantiles(
         )
     running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, group, counts.count())
     asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_rows"))
     # A row answers a position when its run of equal values covers floor or ceil of it.
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
 
     def covered(q):
-        at = q["p"] * (F.col("_rows") - 1)
+        at = q["p"] * (F.col("_upto_all") - 1)
         return F.floor(at).between(first, last) | F.ceil(at).between(first, last)
 
-    hits = running.join(sizes, group).select(
-        *group, value, "_rows", F.inline(F.filter(asked, covered))
-    )
+    hits = running.select(*group, value, F.col("_upto_all").alias("_rows"), F.inline(F.filter(asked, covered)))
     found = hits.groupBy(*group, "i", "p", "_rows").agg(
         F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi")
     )

@@ -27,8 +27,9 @@ def spread_join(
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(heavy_keys(rows, key, parts).withColumn("_hot", F.lit(True)))
+    spread = F.col("_hot") | F.col(key).isNull()  # a null key meets nothing, so it may lie anywhere
     salted = rows.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
+        "_salt", F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies))

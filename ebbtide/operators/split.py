@@ -35,20 +35,15 @@ def split_by_hash(df: DataFrame, key: str = ID, cfg: Settings = DEFAULTS) -> Dat
 
 
 def split_exact(df: DataFrame, key: str = ID, label: str = TARGET, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Split with exact shares of every label, from a distributed rank per label."""
+    """Split with exact shares of every label, from a global rank per label."""
     drawn = df.withColumn("_draw", draw(F.col(key), cfg.seed))
     ranked = with_running_totals(drawn, [F.col("_draw"), F.col(key)], {"_rank": F.lit(1)}, within=[label])
-    sizes = ranked.groupBy(label).agg(F.max("_rank").alias("_rows"))
-    test = F.floor(F.col("_rows") * cfg.test_share + 0.5)
-    val = F.floor(F.col("_rows") * cfg.validation_share + 0.5)
-    return (
-        ranked.join(sizes, label)
-        .withColumn(
-            "split",
-            F.when(F.col("_rank") <= test, "test").when(F.col("_rank") <= test + val, "val").otherwise("train"),
-        )
-        .drop("_draw", "_rank", "_rows")
-    )
+    test = F.floor(F.col("_rank_all") * cfg.test_share + 0.5)
+    val = F.floor(F.col("_rank_all") * cfg.validation_share + 0.5)
+    rank = F.col("_rank")
+    return ranked.withColumn(
+        "split", F.when(rank <= test, "test").when(rank <= test + val, "val").otherwise("train")
+    ).drop("_draw", "_rank", "_rank_all")
 
 
 def split_summary(df: DataFrame, label: str = TARGET) -> DataFrame:

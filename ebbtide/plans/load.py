@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.plans.warehouse import Warehouse, with_sequence_key
-from ebbtide.sources.tables import load_table, row_counts_frame
+from ebbtide.sources.tables import load_table, row_counts_frame, store_bucketed
 
 TABLES = {
     "raw_customers": ("customers", None),
@@ -17,6 +19,20 @@ TABLES = {
 }
 
 
+def store_co_located(w: Warehouse, folder: str, prefix: str = "warehouse_", buckets: int = 8) -> Warehouse:
+    """The customer-keyed tables as catalog tables bucketed alike, for views without join shuffles.
+
+    Events stay as they are: they may hold hot customers, which buckets cannot split.
+    """
+    return replace(
+        w,
+        **{
+            part: store_bucketed(getattr(w, part), f"{prefix}{part}", f"{folder}/{part}", "customer_id", buckets)
+            for part in ("customers", "features", "predictions", "actions")
+        },
+    )
+
+
 def load_all(w: Warehouse, folder: str) -> DataFrame:
     """Write every table below ``folder``; returns table_name and rows loaded."""
     loaded = {}

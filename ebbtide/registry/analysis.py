@@ -150,9 +150,7 @@ def _(x):
 
 @query(
     "h14_probability_histogram",
-    _hist_sql("churn_probability", 40, "everyone", "(SELECT *, 'all' AS everyone FROM scored)").replace(
-        "FROM (SELECT *, 'all' AS everyone FROM scored) s", "FROM (SELECT *, 'all' AS everyone FROM scored) s"
-    ),
+    _hist_sql("churn_probability", 40, "everyone", "(SELECT *, 'all' AS everyone FROM scored)"),
 )
 def _(x):
     return e.histogram(x.scored.withColumn("everyone", F.lit("all")), "churn_probability", 40, "everyone")

@@ -32,6 +32,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def also(name: str, of: str) -> None:
+    """Register a query under a second inventory row that it covers as a whole."""
+    if name in QUERIES:
+        raise ValueError(f"duplicate query {name}")
+    QUERIES[name] = QUERIES[of]
+    if of in ORACLES:
+        ORACLES[name] = ORACLES[of]
+
+
 class Inputs:
     """The frames the queries start from: lazy plans over the tables, described once per session.
 

@@ -9,6 +9,7 @@ from ebbtide.functions.risk import (
     adjusted_probability, event_delta, lifetime_value, register_sql_functions, risk_level, risk_ordinal, value_at_risk,
 )
 from ebbtide.operators import value as v
+from ebbtide.operators.skew import spread_join
 from ebbtide.plans.scoring import score_adhoc
 from ebbtide.registry.base import mean, money, query, total
 
@@ -323,7 +324,7 @@ def _(x):
 )
 def _(x):
     p = x.valued.select(F.col("customerID").alias("customer_id"), "churn_probability")
-    return x.events.join(p, "customer_id").select(
+    return spread_join(x.events, p, "customer_id", F.col("event_id")).select(
         "event_id",
         event_delta("event_type").cast("double").alias("delta"),
         adjusted_probability("churn_probability", "event_type").alias("adjusted"),

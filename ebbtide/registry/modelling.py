@@ -12,7 +12,7 @@ from ebbtide.operators import attribution, metrics, segments, split
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.plans import warehouse
 from ebbtide.plans.scoring import find_customers
-from ebbtide.registry.base import money, query
+from ebbtide.registry.base import also, money, query
 from ebbtide.registry.drift import _SPLIT
 from ebbtide.sources.projection import SCORECARD, SCORECARD_INTERCEPT, scorecard_signals
 from ebbtide.vocab import CATEGORICAL, NUMERIC
@@ -337,3 +337,6 @@ def _(x):
     return found.select("customerID", "tenure", "Contract", "churn_probability", "risk_level", "revenue_at_risk")
 
 
+
+
+also("j06_top_importance", "s02_global_importance")

@@ -41,10 +41,9 @@ def _(x):
 
 @query(
     "b03_duplicates",
-    """SELECT (SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM twice)) FROM twice) AS full_row,
-              (SELECT COUNT(*) - COUNT(DISTINCT customerID) FROM twice) AS by_id""".replace(
-        "SELECT (SELECT", ", twice AS (SELECT * EXCLUDE (arrival) FROM landing UNION ALL SELECT * EXCLUDE (arrival) FROM landing WHERE arrival = 2) SELECT (SELECT", 1
-    ),
+    """, twice AS (SELECT * EXCLUDE (arrival) FROM landing UNION ALL SELECT * EXCLUDE (arrival) FROM landing WHERE arrival = 2)
+       SELECT (SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM twice)) FROM twice) AS full_row,
+              (SELECT COUNT(*) - COUNT(DISTINCT customerID) FROM twice) AS by_id""",
 )
 def _(x):
     again = x.landing.filter("arrival = 2").drop("arrival")
@@ -90,10 +89,6 @@ def _(x):
     return checks_named(x, "required_columns_present")
 
 
-_B08 = """SELECT 'no_duplicate_rows' AS "check", COUNT(*) = 0 AS passed, COUNT(*) || ' duplicate rows' AS detail
-  FROM (SELECT * EXCLUDE (arrival), ROW_NUMBER() OVER (PARTITION BY COLUMNS(* EXCLUDE (arrival))) AS rn FROM landing) WHERE rn > 1"""
-
-
 @query(
     "b08_duplicate_checks",
     """, d AS (SELECT COUNT(*) AS n, COUNT(DISTINCT customerID) AS ids,

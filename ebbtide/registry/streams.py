@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded_total
 from ebbtide.operators.clean import to_bronze_events, to_silver_events
-from ebbtide.registry.base import money, query
+from ebbtide.operators.fold import unknown_customer_events
+from ebbtide.registry.base import also, money, query
 from ebbtide.registry.ordering import _DELTAS
 from ebbtide.registry.warehouse import _ALERTS
 from ebbtide.session import scratch_path
@@ -159,3 +160,22 @@ def _(x):
     copies = F.explode(F.sequence(F.lit(1), F.when(F.col("event_id") % 3 == 0, 2).otherwise(1)))
     twice = ev.validated(stream_of(x)).withColumn("copy", copies)
     return ev.run_available(ev.deduplicated(twice)).select("event_id", "customer_id")
+
+
+also("a10_produce_stream", "m07_output_topic")
+also("a22_fan_out_tables", "m08_dual_tables")
+
+
+@query(
+    "g12_stream_static_lookup",
+    """SELECT event_id, customer_id, risk_level, TRUE AS known FROM ev JOIN valued ON customerID = customer_id WHERE risk_level <> 'LOW'
+       UNION ALL SELECT event_id, ev.customer_id, NULL, FALSE FROM ev LEFT JOIN valued ON customerID = ev.customer_id AND risk_level <> 'LOW' WHERE customerID IS NULL""",
+)
+def _(x):
+    """Events against the scored customers above LOW: matches and rejects, each one stream."""
+    who = scored_customers(x).filter("risk_level <> 'LOW'").select("customer_id", "risk_level")
+    known = ev.run_available(stream_of(x).join(who, "customer_id").select("event_id", "customer_id", "risk_level"))
+    unknown = ev.run_available(unknown_customer_events(stream_of(x), who).select("event_id", "customer_id"))
+    return known.withColumn("known", F.lit(True)).unionByName(
+        unknown.withColumns({"risk_level": F.lit(None).cast("string"), "known": F.lit(False)})
+    )

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded
 from ebbtide.plans import warehouse as wh
-from ebbtide.registry.base import Inputs, mean, money, query, total
+from ebbtide.plans.load import store_co_located
+from ebbtide.registry.base import Inputs, also, mean, money, query, total
+from ebbtide.session import scratch_path
 
 # Columns of the SQL sides that several queries share.
 _HIGH = "COUNT(*) FILTER (risk_level IN ('HIGH', 'CRITICAL'))"
@@ -235,3 +237,38 @@ def _(x):
         """SELECT URGENCY AS urgency, COUNT(*) AS alerts, COUNT(DISTINCT CUSTOMER_ID) AS customers
            FROM V_REALTIME_CHURN_ALERTS GROUP BY URGENCY"""
     )
+
+
+# --- the joins of the inventory, each the whole report that uses it ----------------------------------
+@query(
+    "g09_co_located_join",
+    f"""SELECT r.Contract AS contract, tenure_cohort, COUNT(*) AS n, {total('revenue_at_risk')} AS exposure,
+          {total('estimated_net_value')} AS net_value
+        FROM raw r JOIN gold g USING (customerID) JOIN decided d ON d.customer_id = customerID GROUP BY ALL""",
+)
+def _(x):
+    """Four customer-keyed tables bucketed alike: joined and grouped without moving a customer."""
+    from ebbtide.functions.numeric import exact_sum, rounded_total
+
+    w = store_co_located(x.house, scratch_path(x.spark, "buckets"), "co_located_")
+    rows = (
+        w.customers.select("customer_id", "contract")
+        .join(w.features.select("customer_id", "tenure_cohort"), "customer_id")
+        .join(w.predictions.select("customer_id", "revenue_at_risk"), "customer_id")
+        .join(w.actions.select("customer_id", "estimated_net_value"), "customer_id")
+    )
+    return rows.groupBy("contract", "tenure_cohort").agg(
+        F.count("*").alias("n"),
+        rounded_total(exact_sum("revenue_at_risk"), 2).alias("exposure"),
+        rounded_total(exact_sum("estimated_net_value"), 2).alias("net_value"),
+    )
+
+
+also("b16_raw_check", "r16_raw_ingestion_check")
+also("g04_customers_left_features", "r01_customer_360")
+also("g05_predictions_join_features", "r04_high_risk_customers")
+also("g07_features_join_predictions", "r07_revenue_at_risk_by_segment")
+also("g08_events_predictions_actions", "r09_realtime_alerts")
+also("g10_predictions_customers_actions", "r12_urgent_customers")
+also("g11_events_join_predictions", "r13_incident_impact")
+also("j02_urgent_customers", "r12_urgent_customers")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_ROOTS: dict[str, str] = {}  # scratch roots of local sessions that name none
+
 
 def local_session(app: str = "ebbtide", cores: str | int = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the session you are given."""
@@ -38,9 +40,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="ebbtide-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="ebbtide-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -57,3 +60,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote below the scratch root; frames that still read it fail."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/ebbtide/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -25,7 +25,7 @@ def test_composed_maps_equal_the_walk(deltas, start, cut):
     cut = min(cut, len(deltas) - 1)
     if cut:  # the same in two batches
         first = tuple(int(x[-1]) for x in fold.prefix_maps(np.zeros(cut), np.array(deltas[:cut])))
-        d, lo, hi = fold.prefix_maps(np.zeros(len(deltas) - cut), np.array(deltas[cut:]), first)
+        d, lo, hi = fold.prefix_maps(np.zeros(len(deltas) - cut), np.array(deltas[cut:]), first=first)
         assert np.minimum(hi, np.maximum(lo, start + d)).tolist() == walk(start, deltas)[cut:]
 
 

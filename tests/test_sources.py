@@ -90,3 +90,41 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_root(Cluster())
+
+
+def test_co_located_tables_join_without_a_shuffle(spark, inputs, tmp_path):
+    from ebbtide.plans.load import store_co_located
+
+    w = store_co_located(inputs.house, str(tmp_path / "b"), "test_", buckets=4)
+    joined = w.customers.hint("merge").join(w.predictions, "customer_id").join(w.actions.select("customer_id", "urgency"), "customer_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan and joined.count() == 150
+
+
+def test_scratch_folder(spark, tmp_path, monkeypatch):
+    from ebbtide import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _spark: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert session.written(spark.range(3), "x").count() == 3
+    mine = tmp_path / "ebbtide" / spark.sparkContext.applicationId
+    assert mine.exists() and session.release_scratch(spark)
+    assert not mine.exists() and (tmp_path / "other").exists()
+
+
+def test_local_session_without_a_folder_gets_one(spark, monkeypatch):
+    from ebbtide import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Local:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "local[2]", "applicationId": "test-app"})()
+
+    assert session.scratch_root(Local()) == session.scratch_root(Local())
