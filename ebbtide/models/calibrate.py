@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, Settings
 from ebbtide.functions.numeric import added
-from ebbtide.models.candidates import candidates, with_folds, with_probability
+from ebbtide.models.candidates import candidates, sized, with_folds, with_probability
 from ebbtide.models.prepare import FEATURES, LABEL, fit_preparation, prepared
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.operators.metrics import best_by, classification_metrics, passes_gate
@@ -44,6 +44,7 @@ def calibration_variants(
     train, val = vectors.filter("split = 'train'"), vectors.filter("split = 'val'")
     facts = train.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
     estimator = candidates(facts["n"], facts["w"], cfg)[base]
+    train = sized(train, facts["n"])
 
     def scored(model, df: DataFrame, name: str) -> DataFrame:
         return with_probability(model.transform(df), name).drop("rawPrediction", "probability", "prediction")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS
+from ebbtide.models.candidates import sized
 from ebbtide.operators.split import standardised
 from ebbtide.session import written
 from ebbtide.vocab import SEGMENT_FEATURES
@@ -22,7 +23,8 @@ def segment_vectors(scored: DataFrame, features: list[str] = SEGMENT_FEATURES) -
     """Rows with the z-scores of the segment features as a vector; written once for the fits."""
     z = [f"{c}_z" for c in features]
     out = VectorAssembler(inputCols=z, outputCol=_VECTOR).transform(standardised(scored, features))
-    return written(out.drop(*z), "segments")
+    vectors = written(out.drop(*z), "segments")
+    return sized(vectors, vectors.count())
 
 
 def _best_of(vectors: DataFrame, k: int, starts: int, seed: int):
