@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.risk import risk_level
@@ -23,12 +23,29 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
+def _stored_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a stored table from the file footers; 0 when there is none."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return 0
+        raise
+
+
 def load_table(df: DataFrame, path: str, if_exists: str = "replace") -> int:
-    """Write a table and return the rows written, counted during the write."""
+    """Write a table and return the rows written.
+
+    The rows are counted from the written footers. An observation would count them during the
+    write, but once a session has used one, Spark 4.1 can no longer ship logistic models to its
+    tasks (their training summary holds the session, and the session then an object that cannot
+    be serialised).
+    """
     mode = {"replace": "overwrite", "append": "append"}[if_exists]
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return int(seen.get.get("rows") or 0)
+    spark = df.sparkSession
+    before = _stored_rows(spark, path) if if_exists == "append" else 0
+    df.write.mode(mode).parquet(path)
+    return _stored_rows(spark, path) - before
 
 
 def store_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
