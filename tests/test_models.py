@@ -39,6 +39,14 @@ def test_training_scoring_and_saving(parts, tmp_path):
     assert a.exceptAll(b).count() == 0 and a.filter("churn_probability not between 0 and 1").count() == 0
 
 
+def test_models_can_be_shipped_after_a_load(spark, parts, tmp_path):
+    from ebbtide.sources.tables import load_table
+
+    assert load_table(spark.range(3), str(tmp_path / "t")) == 3
+    table, _ = candidates.train_and_evaluate(parts, ["logistic_regression"])
+    assert table.count() == 1
+
+
 def test_search_draws_come_from_the_space(parts):
     for name, space in candidates.SPACES.items():
         points = candidates.draws(name, 15, 42)
