@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}  # applications whose workers have the package
 _LOCAL_ROOTS: dict[str, str] = {}  # scratch roots of local sessions that name none
 
 
@@ -29,6 +33,29 @@ def local_session(app: str = "ebbtide", cores: str | int = "*", **conf: str) ->
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers of the session's application, once.
+
+    The archive is sent by Spark's own file server; workers import from it wherever they run.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(home)))
+    folder = tempfile.TemporaryDirectory(prefix="ebbtide-code-")  # the driver serves the file as long as it lives
+    path = os.path.join(folder.name, "ebbtide.zip")
+    with open(path, "wb") as file:
+        file.write(data.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED[app] = folder
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates: ``spark.checkpoint.dir`` of the session.
 
