@@ -115,7 +115,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, options: dict) -> Data
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     recipes = recipes_of(rows, **options)
     rank = F.struct("n_points", (-F.col("doc_id")).alias("before"), (-F.col("row")).alias("first"))
-    groups = recipes.groupBy("recipe").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(recipes.groupBy("recipe").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return recipes.join(groups, "recipe").select(
         "doc_id", (-F.col("best.before")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.first")).alias("kept"), "text_sha256", "n_points"
     )
