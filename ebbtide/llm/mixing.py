@@ -30,7 +30,7 @@ def _vectors(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12), np.diff(offsets)
 
 
-def fit_topics(docs: DataFrame, *, topics: int = 8, most_docs: int = 4000, width: int = 256, rounds: int = 25, text_col: str = "text") -> np.ndarray:
+def fit_topics(docs: DataFrame, *, topics: int = 12, most_docs: int = 4000, width: int = 256, rounds: int = 25, text_col: str = "text") -> np.ndarray:
     """Centres of word-count vectors by spherical k-means, on the ``most_docs`` documents with the smallest text hashes."""
     texts = docs.select(F.col(text_col).alias("text")).filter("text is not null").withColumn("h", F.xxhash64("text"))
     chosen = texts.orderBy("h").limit(most_docs).toArrow()["text"].combine_chunks()
@@ -58,11 +58,27 @@ def topic_batches(centres: np.ndarray, block_bytes: int):
     return run
 
 
-def tempered(cells: DataFrame, column: str, power: float) -> DataFrame:
-    """Target shares: the corpus' own shares of tokens to a power below 1, which lifts small categories."""
-    sums = cells.groupBy(column).agg(F.sum("mass").cast("double").alias("own")).filter("own > 0")
-    total = sums.agg(F.sum(F.pow("own", F.lit(power)))).first()[0]
-    return sums.select(column, (F.pow("own", F.lit(power)) / F.lit(total or 1.0)).alias("target"))
+def tempered(cells: DataFrame, power: float) -> dict[str, DataFrame]:
+    """Target shares by a power below 1, which lifts what is rare: of sources and of languages their own shares of tokens to
+    that power, of topics the shares within each language to that power, so that topics never contradict languages."""
+    spark = cells.sparkSession
+    sources = cells.groupBy("source").agg(F.sum("mass").cast("double").alias("own")).filter("own > 0")
+    whole = sources.agg(F.sum(F.pow("own", F.lit(power)))).first()[0] or 1.0
+    found = {"source": sources.select("source", (F.pow("own", F.lit(power)) / F.lit(whole)).alias("target"))}
+    pairs = cells.groupBy("lang", "topic").agg(F.sum("mass").cast("double").alias("own")).filter("own > 0").collect()
+    by_lang: dict = {}
+    for r in pairs:
+        by_lang.setdefault(r["lang"], {})[r["topic"]] = r["own"]
+    langs = {x: sum(t.values()) ** power for x, t in by_lang.items()}
+    total = sum(langs.values()) or 1.0
+    topics: dict = {}
+    for x, own in by_lang.items():
+        damped = {t: v**power for t, v in own.items()}
+        for t, v in damped.items():
+            topics[t] = topics.get(t, 0.0) + langs[x] / total * v / sum(damped.values())
+    found["lang"] = spark.createDataFrame([(x, v / total) for x, v in sorted(langs.items())], "lang string, target double")
+    found["topic"] = spark.createDataFrame(sorted(topics.items()), "topic long, target double")
+    return found
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 100, tolerance: float = 1e-6) -> DataFrame:
@@ -70,7 +86,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 100,
 
     There is a row for each source, with its languages and topics; a round scales every source within its row, then
     languages and topics in turn. Only the sums by language and topic, which are few, reach the driver. A category without
-    tokens or without a target gets no weight. Rounds end when all shares are within ``tolerance`` of their targets.
+    tokens or without a target gets no weight. Rounds end when all shares are within ``tolerance`` of their targets; if the
+    targets contradict each other, which no weights can meet, they end when the largest miss no longer shrinks, with the
+    sources' shares exact.
     """
     total = cells.agg(F.sum("mass")).first()[0]
     if not total:
@@ -93,11 +111,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 100,
         lift = F.when(mass > 0, F.col("target") / mass).otherwise(0.0)
         return rows.withColumn("lift", lift).select("source", "lift", F.explode("cells").alias("cell"))
 
+    misses: list[float] = []
     for _ in range(rounds):
         mass = F.col("lift") * F.col("cell.share") * looked_up("lang", F.col("cell")) * looked_up("topic", F.col("cell"))
         sums = scaled().groupBy("cell.lang", "cell.topic").agg(F.sum(mass).alias("x")).collect()
         table = {(r["lang"], r["topic"]): r["x"] for r in sums if r["x"]}
-        if _fitted(table, wanted, factors) < tolerance:
+        misses.append(_fitted(table, wanted, factors))
+        if misses[-1] < tolerance or len(misses) > 5 and misses[-1] > 0.99 * misses[-6]:
             break
     done = scaled().select("source", "cell.*", (F.col("lift") * looked_up("lang", F.col("cell")) * looked_up("topic", F.col("cell"))).alias("weight"))
     return cells.join(written(done.drop("share"), "raked"), ["source", "lang", "topic"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
@@ -160,7 +180,7 @@ def mixture(
     )
     sized = written(rows.mapInArrow(topic_batches(centres, block_bytes), "doc_id long, source string, lang string, topic long, n_tokens long"), "topics")
     cells = written(sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("mass")), "cells")
-    targets = targets or {c: tempered(cells, c, power) for c in ("source", *SIDES)}
+    targets = targets or tempered(cells, power)
     raked = written(rake(cells, targets), "cells")
     chance = F.least(F.lit(1.0), F.col("weight") * F.lit(scale_for(raked, part)))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / F.lit(float(1 << 53))
