@@ -25,7 +25,7 @@ from ebbtide.llm.text import blocks
 from ebbtide.llm.tokens import Vocabulary, spread
 from ebbtide.session import written
 
-BLOCKS = "block string, bucket int, words array<string>, ranks binary, doc_ids array<long>, starts array<long>, places binary"
+BLOCKS = "block string, bucket int, words binary, widths binary, ranks binary, doc_ids array<long>, starts array<long>, places binary"
 ENTRIES = "block string, ranks binary, sizes binary, ids binary"
 
 
@@ -40,6 +40,17 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1)
 
 
+def pack_words(words: list[str]) -> tuple[bytes, bytes]:
+    """Words as their compressed UTF-8 bytes and their numbers of bytes."""
+    data = [w.encode() for w in words]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(data)), pack(np.fromiter(map(len, data), np.int64, len(data)))
+
+
+def unpack_words(data: bytes, widths: bytes) -> list[bytes]:
+    joined, ends = zstandard.ZstdDecompressor().decompress(data), np.cumsum(unpack(widths), dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def split_batches(vocabulary_path: str, block_bytes: int, row_places: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(vocabulary_path)
@@ -53,7 +64,8 @@ def split_batches(vocabulary_path: str, block_bytes: int, row_places: int, bucke
             dealt = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
             order = np.argsort(dealt, kind="stable")
             for own in np.split(order, np.flatnonzero(np.diff(dealt[order])) + 1) if len(order) else []:
-                yield _row(name, bucket=int(dealt[own[0]]), words=[words[k] for k in own.tolist()], ranks=pack(np.diff(own, prepend=0)))
+                packed, widths = pack_words([words[k] for k in own.tolist()])
+                yield _row(name, bucket=int(dealt[own[0]]), words=packed, widths=widths, ranks=pack(np.diff(own, prepend=0)))
             start, doc_ids = 0, block["doc_id"].to_pylist()
             while start < len(doc_ids):
                 stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + row_places, side="right")) - 1)
@@ -66,9 +78,9 @@ def split_batches(vocabulary_path: str, block_bytes: int, row_places: int, bucke
     return run
 
 
-def _row(block, bucket=None, words=None, ranks=None, doc_ids=None, starts=None, places=None) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-    values = [block, bucket, words, ranks, doc_ids, starts, places]
+def _row(block, bucket=None, words=None, widths=None, ranks=None, doc_ids=None, starts=None, places=None) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    values = [block, bucket, words, widths, ranks, doc_ids, starts, places]
     return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")])
 
 
@@ -77,11 +89,11 @@ def word_batches(vocabulary_path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(vocabulary_path)
-        known: dict[str, bytes] = {}
+        known: dict[bytes, bytes] = {}
         for batch in batches:
-            lists = batch["words"].to_pylist()
+            lists = [unpack_words(*x) for x in zip(batch["words"].to_pylist(), batch["widths"].to_pylist(), strict=True)]
             new = list({w: None for words in lists for w in words if w not in known})
-            ids, starts = vocabulary.encode_words(new)
+            ids, starts = vocabulary.encode_words([w.decode() for w in new])
             data, cuts = ids.astype("<u4").tobytes(), (4 * starts).tolist()
             known |= {w: data[a:b] for w, a, b in zip(new, cuts[:-1], cuts[1:], strict=True)}
             found = [[known[w] for w in words] for words in lists]
@@ -148,7 +160,7 @@ def word_blocks(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id"
 
 def word_table(cut: DataFrame, vocabulary_path: str) -> DataFrame:
     """The ids of every block's words; the lists are dealt by word, so that no word is encoded twice."""
-    lists = cut.filter("bucket is not null").select("block", "bucket", "words", "ranks")
+    lists = cut.filter("bucket is not null").select("block", "bucket", "words", "widths", "ranks")
     return lists.repartition("bucket").drop("bucket").mapInArrow(word_batches(vocabulary_path), ENTRIES)
 
 
