@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.text import blocks
 from ebbtide.llm.tokens import Vocabulary, spread
-from ebbtide.session import written
+from ebbtide.session import scratch_path
 
 BLOCKS = "block string, bucket int, words binary, widths binary, ranks binary, doc_ids array<long>, starts array<long>, places binary"
 ENTRIES = "block string, ranks binary, sizes binary, ids binary"
@@ -104,21 +104,18 @@ def word_batches(vocabulary_path: str):
     return run
 
 
-def join_batches(vocabulary_path: str, keep_ids: bool, keep_text: bool):
-    """Rows of a block come together, its word lists before its documents."""
+def join_block(vocabulary_path: str, keep_ids: bool, keep_text: bool):
+    """The documents of one block, with the ids of its words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(documents: pa.Table, entries: pa.Table) -> pa.Table:
         vocabulary = Vocabulary.load(vocabulary_path)
-        block, lists, table = None, [], None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["block"] != block:
-                    block, lists, table = row["block"], [], None
-                if row["doc_ids"] is None:
-                    lists.append((np.cumsum(unpack(row["ranks"]), dtype=np.int64), unpack(row["sizes"]), unpack(row["ids"])))
-                    continue
-                table = table or _table(lists)
-                yield _documents(vocabulary, row, *spread(*table, unpack(row["places"]).astype(np.int64), np.array(row["starts"])), keep_ids, keep_text)
+        lists = [(np.cumsum(unpack(r["ranks"]), dtype=np.int64), unpack(r["sizes"]), unpack(r["ids"])) for r in entries.to_pylist()]
+        table = _table(lists)
+        parts = [
+            _documents(vocabulary, row, *spread(*table, unpack(row["places"]).astype(np.int64), np.array(row["starts"])), keep_ids, keep_text)
+            for row in documents.to_pylist()
+        ]
+        return pa.Table.from_batches(parts, None if parts else _nothing(keep_ids, keep_text).schema)
 
     return run
 
@@ -151,11 +148,25 @@ def _documents(vocabulary, row, ids, ends, keep_ids, keep_text) -> pa.RecordBatc
     return pa.RecordBatch.from_pydict(columns)
 
 
+def _nothing(keep_ids: bool, keep_text: bool) -> pa.RecordBatch:
+    kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    kinds |= {"ids": pa.list_(pa.int32())} if keep_ids else {}
+    kinds |= {"decoded": pa.string()} if keep_text else {}
+    return pa.RecordBatch.from_pydict({k: [] for k in kinds}, pa.schema(list(kinds.items())))
+
+
 def word_blocks(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 32 << 20, row_places: int = 1 << 19) -> DataFrame:
-    """Split the texts; written once, as blocks are named at random."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Split the texts; written once, as blocks are named at random, and bucketed by block, so that the documents need no
+    shuffle when the ids come back. The table's name is given up at once; its files stay in the scratch folder."""
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return written(rows.mapInArrow(split_batches(vocabulary_path, block_bytes, row_places, buckets), BLOCKS), "bpe-blocks")
+    cut = rows.mapInArrow(split_batches(vocabulary_path, block_bytes, row_places, buckets), BLOCKS)
+    name = f"bpe_blocks_{uuid.uuid4().hex}"
+    cut.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "bpe-blocks")).format("parquet").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def word_table(cut: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -174,8 +185,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, *, keep_ids: bool = Fal
     cut = word_blocks(docs, vocabulary_path, **options)
     entries = word_table(cut, vocabulary_path)
     documents = cut.filter("doc_ids is not null").select("block", "doc_ids", "starts", "places")
-    rows = entries.unionByName(documents, allowMissingColumns=True)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * keep_ids + ", decoded string" * keep_text
-    placed = rows.repartition("block").sortWithinPartitions("block", F.col("doc_ids").isNotNull())
-    return placed.mapInArrow(join_batches(vocabulary_path, keep_ids, keep_text), schema)
+    both = documents.groupBy("block").cogroup(entries.groupBy("block"))
+    return both.applyInArrow(join_block(vocabulary_path, keep_ids, keep_text), schema)
