@@ -14,6 +14,9 @@ def _frozen(mapping):
 class Settings:
     seed: int = 42
 
+    # Most tasks of an iterative fit; without it the stored table's partitions. Never follows the data.
+    fit_tasks: int | None = None
+
     # Split shares, stratified on the label.
     train_share: float = 0.70
     validation_share: float = 0.15

@@ -44,7 +44,7 @@ def calibration_variants(
     train, val = vectors.filter("split = 'train'"), vectors.filter("split = 'val'")
     facts = train.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
     estimator = candidates(facts["n"], facts["w"], cfg)[base]
-    train = sized(train, facts["n"])
+    train = sized(train, cfg)
 
     def scored(model, df: DataFrame, name: str) -> DataFrame:
         return with_probability(model.transform(df), name).drop("rawPrediction", "probability", "prediction")

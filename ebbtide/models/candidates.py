@@ -41,13 +41,10 @@ def candidates(rows: int, width: int, cfg: Settings = DEFAULTS, balanced: bool =
     }
 
 
-_TASK_ROWS = 50_000  # rows per task of an iterative fit
-
-
-def sized(df: DataFrame, rows: int) -> DataFrame:
-    """Every iteration of a fit is a job, so small inputs should not be cut into many tasks. Only
-    ever reduces the number of partitions."""
-    return df.coalesce(max(1, -(-rows // _TASK_ROWS)))
+def sized(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """The rows of a fit in ``fit_tasks`` partitions at most, or as they are stored without that
+    setting: seeded bagging follows the partitions, so they never depend on the number of rows."""
+    return df.coalesce(cfg.fit_tasks) if cfg.fit_tasks else df
 
 
 def with_probability(scored: DataFrame, name: str = "churn_probability") -> DataFrame:
@@ -76,7 +73,7 @@ def train_and_evaluate(
     facts = fit_rows.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
     if balanced:
         fit_rows = with_balance_weight(fit_rows)
-    fit_rows = sized(fit_rows, facts["n"])
+    fit_rows = sized(fit_rows, cfg)
     pipelines, times, scored = {}, [], None
     for name, estimator in candidates(facts["n"], facts["w"], cfg, balanced).items():
         if names and name not in names:
@@ -127,7 +124,7 @@ def tune(
     train = with_balance_weight(parts.filter("split = 'train'").select(ID, *numeric, *categorical, LABEL))
     train = written(with_folds(train.withColumn("even_weight", F.lit(1.0)), folds), "tuning")
     rows = train.count()
-    train = sized(train, rows)
+    train = sized(train, cfg)
     estimator = candidates(rows, 2, cfg)[name]
     grid = []
     for point in draws(name, n_iter, cfg.seed):

@@ -24,7 +24,7 @@ def segment_vectors(scored: DataFrame, features: list[str] = SEGMENT_FEATURES) -
     z = [f"{c}_z" for c in features]
     out = VectorAssembler(inputCols=z, outputCol=_VECTOR).transform(standardised(scored, features))
     vectors = written(out.drop(*z), "segments")
-    return sized(vectors, vectors.count())
+    return sized(vectors)
 
 
 def _best_of(vectors: DataFrame, k: int, starts: int, seed: int):

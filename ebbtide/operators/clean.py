@@ -60,13 +60,18 @@ def clean_raw(raw: DataFrame) -> DataFrame:
 
 
 # --- silver ------------------------------------------------------------------------------------
+def newest(arrival: str) -> Column:
+    """An order that is never null as a whole, which ``max_by`` would skip."""
+    return F.struct(F.col(arrival).isNotNull(), F.col(arrival))
+
+
 def keep_last(df: DataFrame, key: str, arrival: str) -> DataFrame:
-    """Last row per key by ``arrival``. An aggregate, so repeats of one key combine map-side
-    instead of being sorted in one task."""
+    """Last row per key by ``arrival``; rows without one come first. An aggregate, so repeats of one
+    key combine map-side instead of being sorted in one task."""
     rest = [c for c in df.columns if c != key]
     return (
         df.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), F.col(arrival)).alias("_last"))
+        .agg(F.max_by(F.struct(*rest), newest(arrival)).alias("_last"))
         .select(*[F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in df.columns])
     )
 
@@ -110,7 +115,7 @@ def silver_quality(bronze: DataFrame, arrival: str) -> DataFrame:
     """One row: raw, deduplicated, dropped and clean counts, from one pass over the bronze table."""
     per_id = bronze.groupBy(ID).agg(
         F.count("*").alias("_copies"),
-        *[F.max_by(c, arrival).alias(c) for c in ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"]],
+        *[F.max_by(c, newest(arrival)).alias(c) for c in ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"]],
     )
     checked = standardise(per_id).withColumn("_ok", valid_customer())
     return checked.agg(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import count_of, exact_avg, rounded_total
@@ -19,18 +18,8 @@ def score_counts(df: DataFrame, score: str, label: str, by: list[str] = ()) -> D
     )
 
 
-def with_cumulative(
-    counts: DataFrame, score: str, by: list[str] = (), digits: int | None = None
-) -> DataFrame:
-    """Positives and negatives at or above each score (``tp``, ``fp``).
-
-    ``digits`` states that scores lie in [0, 1] with that many digits: then at most
-    10**digits + 1 rows exist per group and a plain window is bounded. Without it the running
-    totals go over range partitions.
-    """
-    if digits is not None:
-        above = W.partitionBy(*by).orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
-        return counts.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
+def with_cumulative(counts: DataFrame, score: str, by: list[str] = ()) -> DataFrame:
+    """Positives and negatives at or above each score (``tp``, ``fp``)."""
     totals = {"tp": F.col("pos"), "fp": F.col("neg")}
     return with_running_totals(counts, [F.desc(score)], totals, list(by))
 
@@ -67,9 +56,9 @@ def threshold_metrics(df: DataFrame, score: str, label: str, threshold: float =
     )
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, by: list[str] = (), digits: int | None = None) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str, label: str, by: list[str] = ()) -> DataFrame:
     """ROC-AUC (ties count half) and average precision (step sum) from one cumulative pass."""
-    points = with_cumulative(score_counts(df, score, label, by), score, by, digits)
+    points = with_cumulative(score_counts(df, score, label, by), score, by)
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     pairs = neg * (tp - pos) + neg * pos / 2
     return (
@@ -88,9 +77,9 @@ def ranking_metrics(df: DataFrame, score: str, label: str, by: list[str] = (), d
     )
 
 
-def curves(df: DataFrame, score: str, label: str, digits: int | None = None) -> DataFrame:
+def curves(df: DataFrame, score: str, label: str) -> DataFrame:
     """ROC and precision-recall point per threshold."""
-    points = with_cumulative(score_counts(df, score, label), score, (), digits)
+    points = with_cumulative(score_counts(df, score, label), score, ())
     sizes = df.agg(count_of(F.col(label) == 1).alias("p"), count_of(F.col(label) != 1).alias("n"))
     size = sizes.select(F.struct("p", "n")).scalar()
     return points.withColumn("_s", size).select(
@@ -122,11 +111,11 @@ def reliability(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFr
 
 
 def classification_metrics(
-    df: DataFrame, score: str, label: str, threshold: float = 0.5, by: list[str] = (), digits: int | None = None
+    df: DataFrame, score: str, label: str, threshold: float = 0.5, by: list[str] = ()
 ) -> DataFrame:
     """The whole metric suite, one row per group."""
     at = threshold_metrics(df, score, label, threshold, by)
-    ranked = ranking_metrics(df, score, label, by, digits)
+    ranked = ranking_metrics(df, score, label, by)
     if by:
         return at.join(ranked, list(by))
     pair = ranked.select(F.struct("roc_auc", "pr_auc")).scalar()

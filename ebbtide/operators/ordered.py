@@ -1,9 +1,8 @@
 """Global order without an unbounded single-task window: rank, NTILE, running totals, quantiles.
 
-A window without PARTITION BY moves every row to one task. That is only done here after a count
-has shown that the rows are few. Otherwise the rows are range-partitioned on the full sort key
-(so equal values of a hot key spread over tasks through the tie-break), numbered inside their
-range, and shifted by the small table of range sizes.
+A window without PARTITION BY moves every row to one task. Instead the rows are range-partitioned
+on the full sort key (so equal values of a hot key spread over tasks through the tie-break),
+numbered inside their range, and shifted by the small table of range sizes, at every size alike.
 
 The input is written once to the shared scratch folder before anything else: the count, the
 range sampling and the sort then read narrow written rows instead of recomputing their source.
@@ -17,8 +16,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import written
 
-BOUNDED_ROWS = 1_000_000  # rows that one task may sort
-RANGE_ROWS = 10_000_000  # rows per range when there are many
+RANGE_ROWS = 10_000_000  # most rows per range
 _SLOT = "_slot"
 _PART = "_part"
 _OFFSET_BITS = 33  # layout of monotonically_increasing_id
@@ -72,10 +70,6 @@ def with_ranks(df: DataFrame, ranks: dict[str, list[Column]], total: str | None
     source = written(df, "ranked")
     rows = source.count()
     out = source.withColumn(total, F.lit(rows).cast("long")) if total else source
-    if rows <= BOUNDED_ROWS:
-        return out.withColumns(
-            {n: F.row_number().over(W.partitionBy().orderBy(*order)).cast("long") for n, order in ranks.items()}
-        )
     for name, order in ranks.items():
         placed = range_sorted(out, order, range_count(out, rows))
         sizes = placed.groupBy(_PART).agg(F.count("*").alias("n"))
@@ -125,13 +119,6 @@ def with_running_totals(
     if rows is None:
         df = written(df, "running")
         rows = df.count()
-    if rows <= BOUNDED_ROWS:
-        whole = W.partitionBy(*within)
-        upto = whole.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns(
-            {t: F.sum(c).over(upto) for t, c in totals.items()}
-            | {f"{t}_all": F.sum(c).over(whole) for t, c in totals.items()}
-        )
     amounts = df.withColumns({f"_x_{t}": c for t, c in totals.items()})
     placed = range_sorted(amounts, [*[F.col(c) for c in within], *order], range_count(df, rows))
     sizes = placed.groupBy(*within, _PART).agg(*[F.sum(f"_x_{t}").alias(t) for t in totals])

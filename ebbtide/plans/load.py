@@ -19,11 +19,13 @@ TABLES = {
 }
 
 
-def store_co_located(w: Warehouse, folder: str, prefix: str = "warehouse_", buckets: int = 8) -> Warehouse:
+def store_co_located(w: Warehouse, folder: str, prefix: str = "warehouse_", buckets: int | None = None) -> Warehouse:
     """The customer-keyed tables as catalog tables bucketed alike, for views without join shuffles.
 
-    Events stay as they are: they may hold hot customers, which buckets cannot split.
+    Events stay as they are: they may hold hot customers, which buckets cannot split. Without
+    ``buckets`` there are as many as the session's shuffle partitions.
     """
+    buckets = buckets or int(w.customers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return replace(
         w,
         **{

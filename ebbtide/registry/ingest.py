@@ -247,7 +247,7 @@ _AUC = """, ranked AS (SELECT Churn, RANK() OVER (ORDER BY churn_probability) +
 )
 def _(x):
     """Metadata of the scorecard, measured on the customers, through its JSON file."""
-    measured = metrics.ranking_metrics(x.scored, "churn_probability", "Churn", digits=4)
+    measured = metrics.ranking_metrics(x.scored, "churn_probability", "Churn")
     path = scratch_path(x.spark, "model-meta")
     files.write_report(
         measured.select(

@@ -129,7 +129,7 @@ _ROC = """, ranked AS (SELECT Churn, RANK() OVER (ORDER BY churn_probability) +
 
 @query("o10_roc_auc", _ROC + f"SELECT {money('a', 4)} AS roc_auc FROM auc")
 def _(x):
-    return metrics.ranking_metrics(x.scored, P, Y, digits=4).select("roc_auc")
+    return metrics.ranking_metrics(x.scored, P, Y).select("roc_auc")
 
 
 @query("o11_average_precision", _POINTS + f"SELECT {money('SUM(pos::DOUBLE / np * tp / (tp + fp))', 4)} AS pr_auc FROM points")
@@ -149,7 +149,7 @@ def _(x):
       {money('fp::DOUBLE / nn', 6)} AS fpr, {money('tp::DOUBLE / (tp + fp)', 6)} AS "precision" FROM points""",
 )
 def _(x):
-    return metrics.curves(x.scored, P, Y, digits=4)
+    return metrics.curves(x.scored, P, Y)
 
 
 @query(
@@ -197,7 +197,7 @@ def _(x):
         CASE WHEN ROUND(a, 4) >= 0.80 AND ROUND(b, 4) <= 0.20 THEN 'production' ELSE 'staging' END AS deployment_stage FROM m""",
 )
 def _(x):
-    measured = metrics.classification_metrics(x.scored, P, Y, digits=4)
+    measured = metrics.classification_metrics(x.scored, P, Y)
     return calibrate.production_record(measured, "scorecard", "none").select(
         "model_name", "roc_auc", "brier_score", "gate_passed", "deployment_stage"
     )
@@ -209,7 +209,7 @@ def _(x):
         (SELECT {money('AVG((churn_probability - Churn) * (churn_probability - Churn))', 4)} FROM scored) AS brier_score FROM auc""",
 )
 def _(x):
-    measured = metrics.classification_metrics(x.scored, P, Y, digits=4)
+    measured = metrics.classification_metrics(x.scored, P, Y)
     runs = calibrate.production_record(measured, "scorecard", "none")
     house = warehouse.Warehouse(None, None, None, None, None, model_runs=runs)
     return warehouse.model_performance(house).select("model_name", "calibration_method", "roc_auc", "brier_score")

@@ -13,18 +13,14 @@ from ebbtide.registry.warehouse import _ALERTS
 from ebbtide.session import scratch_path
 from ebbtide.sources import topics
 from ebbtide.sources.projection import customer_events
+from ebbtide.sources.tables import table_stream
 from ebbtide.streaming import events as ev
 from ebbtide.streaming import risk
 
 
 def stream_of(x):
-    """The event table as a stream of customer events."""
-    raw = (
-        x.spark.readStream.schema(x.table("events").schema)
-        .options(pathGlobFilter="events.parquet", maxFilesPerTrigger=1)
-        .parquet(x.sf_dir)
-    )
-    return customer_events(raw)
+    """The event table, one file or a folder of part files, as a stream of customer events."""
+    return customer_events(table_stream(x.spark, f"{x.sf_dir}/events.parquet", x.table("events").schema, per_trigger=1))
 
 
 def scored_customers(x):
@@ -119,7 +115,7 @@ def _(x):
     """Both tables of the fan-out, joined back on the event."""
     folder = scratch_path(x.spark, "fanout")
     job = (
-        updates(x).writeStream.foreachBatch(risk.store_updates(folder))
+        updates(x).writeStream.foreachBatch(risk.store_updates(folder, "once"))
         .option("checkpointLocation", scratch_path(x.spark, "stream-checkpoint"))
         .trigger(availableNow=True)
         .start()

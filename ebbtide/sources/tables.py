@@ -23,6 +23,18 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema, per_trigger: int | None = None) -> DataFrame:
+    """A stored table as a stream of its files, be it a folder of part files or a single file."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    if file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(file).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", file.getName()).parquet(str(file.getParent().toString()))
+
+
 def _stored_rows(spark: SparkSession, path: str) -> int:
     """Row count of a stored table from the file footers; 0 when there is none."""
     try:

@@ -87,9 +87,10 @@ def risk_updates(
     )
 
 
-def store_updates(folder: str):
+def store_updates(folder: str, run: str):
     """A foreachBatch sink into two tables. A batch overwrites its own folder, so a repeated batch
-    after a failure leaves each row once."""
+    after a failure leaves each row once. ``run`` names the checkpoint: batch numbers start again
+    with each new one, and must not overwrite those of another."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -101,8 +102,8 @@ def store_updates(folder: str):
             "customer_id", "event_id", "previous_probability", "new_probability", "risk_change",
             F.col("new_risk_level").alias("risk_level"), "revenue_at_risk",
         )
-        events.write.mode("overwrite").parquet(f"{folder}/customer_events/batch_id={batch_id}")
-        scores.write.mode("overwrite").parquet(f"{folder}/risk_scores/batch_id={batch_id}")
+        events.write.mode("overwrite").parquet(f"{folder}/customer_events/run={run}/batch_id={batch_id}")
+        scores.write.mode("overwrite").parquet(f"{folder}/risk_scores/run={run}/batch_id={batch_id}")
         batch.unpersist()
 
     return store

@@ -20,13 +20,3 @@ def inputs(spark):
     from ebbtide.registry.base import Inputs
 
     return Inputs.over(spark, SF)
-
-
-@pytest.fixture(params=["bounded", "ranged"])
-def both_paths(request, monkeypatch):
-    """Run a test once with the small-input window and once with the range partitions."""
-    from ebbtide.operators import ordered
-
-    if request.param == "ranged":
-        monkeypatch.setattr(ordered, "BOUNDED_ROWS", 0)
-    return request.param

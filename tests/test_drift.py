@@ -16,7 +16,7 @@ def psi(frame):
     return {r["feature"]: r["psi"] for r in frame.collect()}
 
 
-def test_numeric_identical_shifted_constant_empty(normal, both_paths):
+def test_numeric_identical_shifted_constant_empty(normal):
     shift = F.when(F.col("side") == d.CURRENT, 2.0).otherwise(0.0)
     twin = normal.select("side", F.col("id").cast("double"), "z").withColumn("same", F.floor(F.col("id") / 2).cast("double"))
     df = twin.withColumns({

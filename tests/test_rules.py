@@ -24,7 +24,7 @@ def test_out_of_range_fails(spark, p):
         levels(spark, [p])
 
 
-def test_value_table_ranks_by_value_not_probability(spark, both_paths):
+def test_value_table_ranks_by_value_not_probability(spark):
     rows = [("a", 20.0, 0.05), ("b", 50.0, 0.4), ("c", 100.0, 0.9), ("d", 80.0, 0.75)]
     df = spark.createDataFrame(rows, "customerID string, MonthlyCharges double, churn_probability double")
     out = {r["customerID"]: r for r in v.with_priority(v.with_value(df)).collect()}
@@ -34,7 +34,7 @@ def test_value_table_ranks_by_value_not_probability(spark, both_paths):
     assert sum(r["priority_flag"] for r in out.values()) == 1
 
 
-def test_prioritization_shift(spark, both_paths):
+def test_prioritization_shift(spark):
     rows = [(f"c{i}", 10.0 * (i + 1), (10 - i) / 10.5) for i in range(10)]
     df = spark.createDataFrame(rows, "customerID string, MonthlyCharges double, churn_probability double")
     got = v.prioritization_shift(v.with_value(df), 0.3).first()

@@ -1,6 +1,10 @@
+import datetime
+import glob
+
 from pyspark.sql import functions as F
 
 from ebbtide.operators import fold
+from ebbtide.sources.tables import table_stream
 from ebbtide.streaming import events as ev
 from ebbtide.streaming import risk
 
@@ -51,9 +55,31 @@ def test_repeated_batch_is_stored_once(spark, inputs, tmp_path):
         rows, "customer_id string, event_id long, event_type string, value double, previous_probability double, new_probability double, "
         "risk_change double, new_risk_level string, revenue_at_risk double, is_simulated boolean",
     ).withColumn("timestamp", F.current_timestamp())
-    store = risk.store_updates(str(tmp_path / "s"))
+    store = risk.store_updates(str(tmp_path / "s"), "r")
     store(batch, 3)
     store(batch, 3)
     assert spark.read.parquet(str(tmp_path / "s" / "risk_scores")).count() == 1
-    event = spark.read.parquet(str(tmp_path / "s" / "customer_events")).first()
+    risk.store_updates(str(tmp_path / "s"), "another checkpoint")(batch, 3)
+    assert spark.read.parquet(str(tmp_path / "s" / "risk_scores")).count() == 2
+    event = spark.read.parquet(str(tmp_path / "s" / "customer_events")).filter("run = 'r'").first()
     assert event["payload"] == '{"delta_applied":-0.03}' and event["batch_id"] == 3
+
+
+def test_a_stream_reads_a_folder_or_a_file(spark, inputs, tmp_path):
+    folder = str(tmp_path / "events.parquet")
+    rows = inputs.events.select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    rows.repartition(5).write.parquet(folder)
+    streamed = ev.run_available(table_stream(spark, folder, SCHEMA, per_trigger=1))
+    assert streamed.exceptAll(rows).isEmpty() and streamed.count() == rows.count()
+    path = glob.glob(f"{folder}/part-*.parquet")[0]
+    one = spark.read.parquet(path)
+    assert ev.run_available(table_stream(spark, path, SCHEMA)).exceptAll(one).isEmpty()
+
+
+def test_late_events_that_are_no_copies_come_out(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for name, hour, ids in (("a", 20, [1, 2]), ("b", 23, [3, 2, 4]), ("c", 1, [5, 6, 1])):
+        times = [(k, "c", "login", datetime.datetime(2024, 1, 2, hour), 1.0, True) for k in ids]
+        spark.createDataFrame(times, SCHEMA).coalesce(1).write.parquet(f"{folder}/part={name}")
+    done = ev.run_available(ev.deduplicated(ev.validated(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder))))
+    assert sorted(r["event_id"] for r in done.collect()) == [1, 2, 3, 4, 5, 6]

@@ -95,3 +95,9 @@ def test_medallion_run(spark, inputs, tmp_path, with_events):
     assert rows["gold_customer_features_daily"]["records"] == rows["silver_customers_clean"]["records"]
     audit = spark.read.parquet(str(tmp_path / "m" / "audit_loads"))
     assert audit.count() == 6 and audit.filter("batch_id is null").count() == 0
+
+
+def test_keep_last_keeps_values_without_arrival(spark):
+    rows = [("a", 5, None), ("b", 1, 1), ("b", 2, 2), ("b", 3, None)]
+    df = spark.createDataFrame(rows, "k string, tenure int, arrival long")
+    assert sorted((r["k"], r["tenure"]) for r in c.keep_last(df, "k", "arrival").collect()) == [("a", 5), ("b", 2)]
