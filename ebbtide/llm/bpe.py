@@ -74,6 +74,8 @@ def split_batches(vocabulary_path: str, block_bytes: int, row_places: int, bucke
                     places=pack(rank[at[offsets[start] : offsets[stop]]]),
                 )
                 start = stop
+            del at, words, rank, dealt, order
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -155,7 +157,7 @@ def _nothing(keep_ids: bool, keep_text: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: [] for k in kinds}, pa.schema(list(kinds.items())))
 
 
-def word_blocks(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 32 << 20, row_places: int = 1 << 19) -> DataFrame:
+def word_blocks(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 14 << 20, row_places: int = 1 << 19) -> DataFrame:
     """Split the texts; written once, as blocks are named at random, and bucketed by block, so that the documents need no
     shuffle when the ids come back. The table's name is given up at once; its files stay in the scratch folder."""
     spark = docs.sparkSession
