@@ -248,7 +248,7 @@ def candidate_edges(members: DataFrame, *, threshold: float, recall: float, leaf
 
 def near_copies(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.9999,
-    leaf: int = 2048, tile: int = 192, width: int = 64, slack: float = 0.2, depth: int = 8, seed: int = 7, block_bytes: int = 8 << 20,
+    leaf: int = 2048, tile: int = 192, width: int = 64, slack: float = 0.2, depth: int = 8, seed: int = 7, block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (smallest id of its class, or null if it has none), ``n_links``.
 

@@ -97,7 +97,7 @@ def recipes_of(docs: DataFrame, *, block_bytes: int, window: int, bits: int, lea
 
 
 def exact_copies(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20, window: int = 16,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20, window: int = 16,
     bits: int = 10, least: int = 256, most: int = 8192,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
@@ -122,7 +122,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, options: dict) -> Data
 
 
 def without_copies(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20, window: int = 16,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20, window: int = 16,
     bits: int = 10, least: int = 256, most: int = 8192,
 ) -> DataFrame:
     """The rows of ``docs`` that stay by ``exact_copies``, with all their columns; of rows that agree in id, length and text

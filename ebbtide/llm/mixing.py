@@ -163,7 +163,7 @@ def scale_for(cells: DataFrame, part: float) -> float:
 
 def mixture(
     docs: DataFrame, centres: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-    power: float = 0.8, part: float = 0.9, seed: int = 1, targets: dict[str, DataFrame] | None = None, block_bytes: int = 8 << 20,
+    power: float = 0.8, part: float = 0.9, seed: int = 1, targets: dict[str, DataFrame] | None = None, block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``source``, ``lang``, ``topic``, ``n_tokens`` (words), raked ``weight``,
     ``probability`` and ``kept``.

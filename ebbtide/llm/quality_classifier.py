@@ -84,7 +84,7 @@ def _strength(groups: DataFrame, parent: str) -> float:
 
 def site_quality(
     docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", host: str | Column = "source",
-    path: str | Column = "lang", least: float = 0.5, block_bytes: int = 8 << 20,
+    path: str | Column = "lang", least: float = 0.5, block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``evidence`` (own probability), ``site`` (its path's posterior without the
     document), ``probability`` and ``kept`` (``probability >= least``).

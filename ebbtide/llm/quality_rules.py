@@ -125,7 +125,7 @@ def rule_batches(weights: np.ndarray, moves: np.ndarray, least_words: int, most_
 
 def line_quality(
     docs: DataFrame, model, *, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50, most_repeats: int = 50,
-    least_share: float = 0.5, block_bytes: int = 8 << 20,
+    least_share: float = 0.5, block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: counts, ``base_failed``, ``kept``, the content's share of the words and each line's label.
 
