@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -76,11 +77,13 @@ def calibration_report(variants: DataFrame) -> tuple[DataFrame, str]:
 
 
 # --- records -----------------------------------------------------------------------------------------
-def production_record(metrics: DataFrame, base: str, method: str, day: datetime.date | None = None, cfg: Settings = DEFAULTS) -> DataFrame:
-    """The selected model as a model_runs row with its promotion gate."""
-    day = day or datetime.date.today()
+def production_record(
+    metrics: DataFrame, base: str, method: str, day: datetime.date | None = None, cfg: Settings = DEFAULTS, run_id: str | None = None
+) -> DataFrame:
+    """The selected model as a model_runs row with its promotion gate; a new run id unless one is given."""
+    day, run_id = day or datetime.date.today(), run_id or f"run-{uuid.uuid4().hex}"
     row = metrics.select(
-        F.lit("run-prod-001").alias("run_id"), F.lit(base).alias("model_name"),
+        F.lit(run_id).alias("run_id"), F.lit(base).alias("model_name"),
         F.lit(f"{base}-{method}-{day.isoformat()}").alias("model_version"), F.lit(method).alias("calibration_method"),
         "roc_auc", "pr_auc", F.col("f1").alias("f1_score"), F.col("precision").alias("precision_score"),
         F.col("recall").alias("recall_score"), "log_loss", "brier", F.current_timestamp().alias("trained_at"),

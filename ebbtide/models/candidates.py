@@ -36,7 +36,7 @@ def candidates(rows: int, width: int, cfg: Settings = DEFAULTS, balanced: bool =
         "random_forest": RandomForestClassifier(
             numTrees=300, maxDepth=10, minInstancesPerNode=5, seed=cfg.seed, **weighted
         ),
-        "gradient_boosting": GBTClassifier(maxIter=100, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=cfg.seed, **weighted),
+        "gradient_boosting": GBTClassifier(maxIter=300, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=cfg.seed, **weighted),
         "neural_network": MultilayerPerceptronClassifier(layers=[width, 64, 32, 2], maxIter=300, seed=cfg.seed, **common),
     }
 
@@ -136,7 +136,7 @@ def tune(
                 settings[getattr(estimator, k)] = v
         grid.append((point, settings))
     search = CrossValidator(
-        estimator=Pipeline(stages=[*preparation_stages(train, numeric, categorical), estimator]),
+        estimator=Pipeline(stages=[*preparation_stages(numeric, categorical), estimator]),
         estimatorParamMaps=[s for _, s in grid],
         evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
         foldCol="fold", numFolds=folds, parallelism=parallelism, seed=cfg.seed,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,10 +136,21 @@ def _counted(n: Column, noun: str) -> Column:
     return F.concat(n.cast("string"), F.lit(f" {noun}"))
 
 
-def quality_checks(df: DataFrame) -> DataFrame:
-    """The check table: check, passed, detail. Values behind a failed domain check are listed by
-    :func:`unexpected_values`."""
-    spark = df.sparkSession
+COPY_CHECKS = ("no_duplicate_rows", "unique_customer_ids")
+
+
+def quality_checks(df: DataFrame, *only: str) -> DataFrame:
+    """The check table: check, passed, detail; of all checks or of those named, leaving out the
+    passes over the data that none of them needs. Values behind a failed domain check are listed
+    by :func:`unexpected_values`."""
+    needed = {_copy_checks if c in COPY_CHECKS else _domain_checks if "values_valid" in c else _count_checks for c in only}
+    parts = [part(df) for part in (_count_checks, _copy_checks, _domain_checks) if not only or part in needed]
+    table = functools.reduce(DataFrame.unionByName, parts)
+    return table.filter(F.col("check").isin(*only)) if only else table
+
+
+def _count_checks(df: DataFrame) -> DataFrame:
+    """Columns, nulls, blanks and ranges: one aggregate."""
     names = df.columns
     numeric = {c for c, kind in df.dtypes if kind in ("int", "bigint", "double", "float", "smallint") or kind.startswith("decimal")}
     absent = [c for c in RAW_COLUMNS if c not in names]
@@ -172,25 +185,32 @@ def quality_checks(df: DataFrame) -> DataFrame:
         entries.append(
             _check("senior_citizen_binary", F.col("_senior") == 0, _counted(F.col("_senior"), "rows outside {0, 1}"))
         )
-    table = _long(facts, entries)
+    return _long(facts, entries)
+
 
+def _copy_checks(df: DataFrame) -> DataFrame:
+    """Repeated rows and ids."""
+    names = df.columns
     copies = duplicates(df) if ID in names else df.groupBy(*names).count().agg(F.sum(F.col("count") - 1).alias("full_row"))
     copy_checks = [_check("no_duplicate_rows", F.col("full_row") == 0, _counted(F.col("full_row"), "duplicate rows"))]
     if ID in names:
         copy_checks.append(_check("unique_customer_ids", F.col("by_id") == 0, _counted(F.col("by_id"), "duplicate ids")))
-    table = table.unionByName(_long(copies, copy_checks))
+    return _long(copies, copy_checks)
+
 
-    expected = [(c, f"values_valid[{c}]") for c in CATEGORICAL if c in names]
-    if TARGET in names:
+def _domain_checks(df: DataFrame) -> DataFrame:
+    """Values of the categories and the target."""
+    expected = [(c, f"values_valid[{c}]") for c in CATEGORICAL if c in df.columns]
+    if TARGET in df.columns:
         expected.append((TARGET, "target_values_valid"))
-    listed = spark.createDataFrame(expected, "field string, check string")
+    listed = df.sparkSession.createDataFrame(expected, "field string, check string")
     bad = unexpected_values(df).groupBy("field").agg(F.count("*").alias("n"))
     n = F.coalesce(F.col("n"), F.lit(0))
     domain = listed.join(bad, "field", "left").select(
         "check", (n == 0).alias("passed"),
         F.when(n == 0, "ok").otherwise(_counted(n, "unexpected values")).alias("detail"),
     )
-    return table.unionByName(domain)
+    return domain
 
 
 def quality_report(checks: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ebbtide.operators import features as f
 from ebbtide.registry.base import money, query
 from ebbtide.vocab import CATEGORICAL, RAW_COLUMNS
 
-_CELLS = ", ".join(f"COALESCE(CAST({col} AS VARCHAR), '\\N')" for col in RAW_COLUMNS if col != "MonthlyCharges")
+_CELLS = ", ".join(f"COALESCE(CAST({col} AS VARCHAR), '\\N')" for col in RAW_COLUMNS)
 
 
 @query(
@@ -34,8 +34,7 @@ def _(x):
     f"SELECT customerID, arrival, MD5(CONCAT_WS(CHR(31), {_CELLS})) AS record_hash FROM landing",
 )
 def _(x):
-    columns = [col for col in RAW_COLUMNS if col != "MonthlyCharges"]
-    return x.landing.select("customerID", "arrival", c.record_hash(columns).alias("record_hash"))
+    return x.landing.select("customerID", "arrival", c.record_hash(RAW_COLUMNS).alias("record_hash"))
 
 
 @query(

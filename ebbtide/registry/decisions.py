@@ -303,12 +303,12 @@ def top_sets(x):
 
 @query(
     "k03_category_union",
-    """SELECT DISTINCT value FROM (SELECT PaymentMethod AS value FROM raw WHERE tenure < 24
-       UNION ALL SELECT PaymentMethod FROM raw WHERE tenure >= 48)""",
+    """SELECT DISTINCT value FROM (SELECT PaymentMethod AS value FROM raw WHERE tenure < 36
+       UNION ALL SELECT PaymentMethod FROM raw WHERE tenure >= 36)""",
 )
 def _(x):
-    young = x.raw.filter("tenure < 24").select(F.col("PaymentMethod").alias("value"))
-    old = x.raw.filter("tenure >= 48").select(F.col("PaymentMethod").alias("value"))
+    young = x.raw.filter("tenure < 36").select(F.col("PaymentMethod").alias("value"))
+    old = x.raw.filter("tenure >= 36").select(F.col("PaymentMethod").alias("value"))
     return young.union(old).distinct()
 
 

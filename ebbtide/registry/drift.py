@@ -13,7 +13,7 @@ from ebbtide.vocab import MONITOR_CATEGORICAL, MONITOR_NUMERIC
 _SPLIT = """, parts AS (SELECT *, CASE WHEN MD5(customerID || '42')[1:8] < 'b3333333' THEN 'train'
     WHEN MD5(customerID || '42')[1:8] < 'd999999a' THEN 'val' ELSE 'test' END AS split FROM scored)"""
 _REAL = _SPLIT + """, sides AS (SELECT *, CASE split WHEN 'train' THEN 'r' WHEN 'test' THEN 'c' END AS side FROM parts WHERE split <> 'val')"""
-_YOUNG_OLD = """, sides AS (SELECT *, CASE WHEN tenure < 24 THEN 'r' ELSE 'c' END AS side FROM scored WHERE tenure < 24 OR tenure >= 48)"""
+_YOUNG_OLD = """, sides AS (SELECT *, CASE WHEN tenure < 36 THEN 'r' ELSE 'c' END AS side FROM scored)"""
 
 
 def _numeric(features) -> str:
@@ -45,7 +45,7 @@ _FEATURES = _numeric(MONITOR_NUMERIC) + _categorical(MONITOR_CATEGORICAL) + f"""
 
 
 def young_and_old(x):
-    return with_sides(x.scored, F.col("tenure") < 24, F.col("tenure") >= 48)
+    return with_sides(x.scored, F.col("tenure") < 36, F.col("tenure") >= 36)
 
 
 @query("q01_psi_numeric", _YOUNG_OLD + _numeric(MONITOR_NUMERIC) + f"SELECT feature, {money('psi', 4)} AS psi FROM num_psi")

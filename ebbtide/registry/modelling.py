@@ -100,7 +100,7 @@ def _(x):
 
 @query("o08_random_search")
 def _(x):
-    found, _model = models.tune(parts_of(x), "logistic_regression", n_iter=4)
+    found, _model = models.tune(parts_of(x), "logistic_regression", n_iter=15)
     row = [(found["model"], found["cv_best_score"], str(found["best_params"]), found["tune_time_s"])]
     return x.spark.createDataFrame(row, "model string, cv_best_score double, best_params string, tune_time_s double")
 
@@ -205,14 +205,17 @@ def _(x):
 
 @query(
     "r05_model_performance",
-    _ROC + f"""SELECT 'scorecard' AS model_name, 'none' AS calibration_method, {money('a', 4)} AS roc_auc,
-        (SELECT {money('AVG((churn_probability - Churn) * (churn_probability - Churn))', 4)} FROM scored) AS brier_score FROM auc""",
+    _POINTS + _ROC + f"""SELECT 'scorecard' AS model_name, 'none' AS calibration_method,
+        CASE WHEN ROUND(a, 4) >= 0.80 AND t.brier <= 0.20 THEN 'production' ELSE 'staging' END AS deployment_stage, {money('a', 4)} AS roc_auc,
+        (SELECT {money('SUM(pos::DOUBLE / np * tp / (tp + fp))', 4)} FROM points) AS pr_auc, t.f1 AS f1_score, t.recall AS recall_score,
+        t."precision" AS precision_score, t.brier AS brier_score FROM auc, ({_AT}) t""",
 )
 def _(x):
+    """All but the version and the time, which name the run."""
     measured = metrics.classification_metrics(x.scored, P, Y)
     runs = calibrate.production_record(measured, "scorecard", "none")
     house = warehouse.Warehouse(None, None, None, None, None, model_runs=runs)
-    return warehouse.model_performance(house).select("model_name", "calibration_method", "roc_auc", "brier_score")
+    return warehouse.model_performance(house).drop("model_version", "trained_at")
 
 
 @query(
@@ -236,12 +239,12 @@ def _(x):
 # --- segments -------------------------------------------------------------------------------------------
 @query("p02_choose_k")
 def _(x):
-    return segment.choose_k(segment.segment_vectors(x.scored), starts=1)
+    return segment.choose_k(segment.segment_vectors(x.scored))
 
 
 @query("p04_segments")
 def _(x):
-    rows = segment.fit_segments(segment.segment_vectors(x.scored), 3, starts=3)
+    rows = segment.fit_segments(segment.segment_vectors(x.scored), 3)
     return segments.segment_table(rows, segments.profile_clusters(rows))
 
 

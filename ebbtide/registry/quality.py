@@ -78,7 +78,7 @@ def _(x):
 
 # --- checks over the dirty feed -----------------------------------------------------------------------
 def checks_named(x, *names):
-    return q.quality_checks(delivered(x)).filter(F.col("check").isin(*names))
+    return q.quality_checks(delivered(x), *names)
 
 
 @query(

@@ -19,7 +19,7 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
-    build().write.mode("errorifexists").parquet(path)
+    build().write.mode("overwrite").parquet(path)  # a folder that a failed build left without data
     return spark.read.parquet(path)
 
 

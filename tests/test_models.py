@@ -28,6 +28,18 @@ def test_widths_names_and_unknown_categories(parts):
     assert len(vector) == 58 and all(vector[i] == 0.0 for i, n in enumerate(names) if n.startswith("PaymentMethod_"))
 
 
+def test_modes_are_a_fitted_stage(spark, parts, tmp_path):
+    """A mode with a quote, a column without values, and a save in between."""
+    train = parts.filter("split = 'train'").withColumns(
+        {"Contract": F.when(F.col("tenure") < 60, "Driver's \\ choice"), "gender": F.lit(None).cast("string")}
+    )
+    fit_preparation(train).write().overwrite().save(str(tmp_path / "prep"))
+    model = PipelineModel.load(str(tmp_path / "prep"))
+    filled = model.transform(train).select("Contract__filled", "gender__filled").distinct().collect()
+    assert [tuple(r) for r in filled] == [("Driver's \\ choice", "missing")]
+    assert prepared(model, train).count() == train.count()
+
+
 def test_training_scoring_and_saving(parts, tmp_path):
     table, fitted = candidates.train_and_evaluate(parts, ["logistic_regression", "decision_tree"])
     rows = {r["model"]: r for r in table.collect()}
