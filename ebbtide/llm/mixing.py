@@ -30,10 +30,18 @@ def _vectors(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12), np.diff(offsets)
 
 
-def fit_topics(docs: DataFrame, *, topics: int = 12, most_docs: int = 4000, width: int = 256, rounds: int = 25, text_col: str = "text") -> np.ndarray:
-    """Centres of word-count vectors by spherical k-means, on the ``most_docs`` documents with the smallest text hashes."""
-    texts = docs.select(F.col(text_col).alias("text")).filter("text is not null").withColumn("h", F.xxhash64("text"))
-    chosen = texts.orderBy("h").limit(most_docs).toArrow()["text"].combine_chunks()
+def fit_topics(
+    docs: DataFrame, *, topics: int = 12, most_docs: int = 4000, width: int = 256, rounds: int = 25, id_col: str = "doc_id", text_col: str = "text"
+) -> np.ndarray:
+    """Centres of word-count vectors by spherical k-means, on up to ``most_docs`` documents with the smallest hashes of id and text.
+
+    Only rows whose hash is below a bound, four times the wanted part of all rows, are sorted, so that what moves does not
+    grow with the table. Rows that agree in id and text share a hash and are within the bound together or not at all.
+    """
+    n = docs.count()
+    h = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+    texts = docs.select(F.col(text_col).alias("text"), F.shiftrightunsigned(h, 11).alias("h")).filter("text is not null")
+    chosen = texts.filter(F.col("h") < F.lit(min(1 << 53, (4 * most_docs << 53) // max(n, 1)))).orderBy("h").limit(most_docs).toArrow()["text"].combine_chunks()
     rng = np.random.default_rng(3)
     rows, words = _vectors(chosen, width) if len(chosen) else (np.zeros((0, width)), np.zeros(0))
     rows = rows[words > 0]
