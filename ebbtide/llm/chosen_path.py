@@ -22,7 +22,7 @@ from ebbtide.llm.components import components
 from ebbtide.llm.text import blocks, draws, minhash, mixed, shingle_sets
 from ebbtide.session import written
 
-SIGNED = "row long, doc_id long, digest binary, n_shingles long, signature binary, sketch binary"
+SIGNED = "row long, doc_id long, key long, digest binary, n_shingles long, signature binary, sketch binary"
 
 
 def runs_for(recall: float, threshold: float) -> int:
@@ -49,7 +49,7 @@ def sign_batches(size: int, width: int, seed: int, block_bytes: int):
                 pa.array([None if x is None else x.tobytes() for x in signatures], pa.binary()),
                 pa.array([None if x is None else (x & 255).astype(np.uint8).tobytes() for x in signatures], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([block["row"], block["doc_id"], *columns], [x.split()[0] for x in SIGNED.split(", ")])
+            yield pa.RecordBatch.from_arrays([block["row"], block["doc_id"], block["key"], *columns], [x.split()[0] for x in SIGNED.split(", ")])
 
     return run
 
@@ -255,24 +255,25 @@ def near_copies(
     Two documents are linked when the sets of their ``size``-word shingles have a Jaccard similarity of ``threshold`` or more;
     classes are the components of the links. Words are runs without ``[\\x20\\x09-\\x0D]``; fewer words than ``size`` are one
     shingle, and a text without words (null, empty) has no links and is a class alone. ``n_links`` counts the other rows that a row
-    is linked to, copies included, though copies are one member in all comparisons. Ids may repeat: their rows count apart. An
+    is linked to, copies included, though copies are one member in all comparisons. Ids may repeat or be null, in any share of
+    the rows: their rows count apart, and texts are found again by id and text hash. An
     empty table gives an empty result; no other column is read. Any share of the rows may be copies: they are counted before
     they are shuffled. A large family is compared tile by tile, each in a task of its own, and no pair leaves its task.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "text")
     signed = written(rows.mapInArrow(sign_batches(size, width, seed, block_bytes), SIGNED), "signed")
     sets = signed.filter("digest is not null").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     sets = written(sets, "members")
     heads = sets.select(F.col("node").alias("row"), "copies", "least")
-    members = written(signed.join(heads, "row").select(F.col("row").alias("node"), "doc_id", "digest", "signature", "sketch", "copies"), "heads")
+    members = written(signed.join(heads, "row").select(F.col("row").alias("node"), "doc_id", "key", "digest", "signature", "sketch", "copies"), "heads")
     edges = candidate_edges(members, threshold=threshold, recall=recall, leaf=leaf, slack=slack, width=width, depth=depth)
     families = components(edges).withColumnRenamed("label", "family")
     tiles = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("long").alias("tiles"))
     placed = families.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
-    texts = rows.select("doc_id", "text").join(
-        placed.join(members.select("node", "digest", "copies", F.col("doc_id").alias("of")), "node"), F.col("doc_id").eqNullSafe(F.col("of"))
-    )
-    found = texts.select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
+    sought = placed.join(members.select("node", "digest", "copies", F.col("doc_id").alias("of"), F.col("key").alias("of_key")), "node")
+    own = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
+    found = texts.join(sought, own).select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
         set_batches(size, block_bytes), "node long, family long, tiles long, tile long, copies long, shingles binary"
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
