@@ -57,7 +57,9 @@ def calibration_variants(
         held = written(scored(model, train.filter(F.col("fold") == k), "_p"), "fold")
         held = assemble.transform(held.withColumn("_z", _logit("_p")))
         platt = LogisticRegression(featuresCol="_zv", labelCol=LABEL).fit(held)
-        isotonic = IsotonicRegression(featuresCol="_p", labelCol=LABEL).fit(held)
+        # The fit gathers its points on the driver: a fixed grid of scores, weighted by their rows, bounds them.
+        grid = held.groupBy(F.round("_p", 4).alias("_p")).agg(F.avg(LABEL).alias(LABEL), F.count("*").cast("double").alias("_w"))
+        isotonic = IsotonicRegression(featuresCol="_p", labelCol=LABEL, weightCol="_w").fit(grid)
         out = assemble.transform(scored(model, out, "_p").withColumn("_z", _logit("_p")))
         out = scored(platt, out, f"_platt_{k}")
         out = isotonic.transform(out).withColumnRenamed("prediction", f"_iso_{k}").drop("_p", "_z", "_zv")

@@ -325,9 +325,13 @@ def realtime_alerts(w: Warehouse) -> DataFrame:
 def incident_impact(w: Warehouse) -> DataFrame:
     """Impact per event type. Events are counted per customer and type before the join, so a hot
     customer enters it with at most one row per type."""
-    counted = w.events.groupBy("customer_id", "event_type").agg(F.count("event_id").alias("n"))
+    return impact_of(w.events.groupBy("customer_id", "event_type").agg(F.count("event_id").alias("n")), w.predictions)
+
+
+def impact_of(counted: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Impact per event type from counts (customer_id, event_type, n)."""
     rows = counted.join(
-        w.predictions.select("customer_id", "churn_probability", "risk_level", "revenue_at_risk"), "customer_id"
+        predictions.select("customer_id", "churn_probability", "risk_level", "revenue_at_risk"), "customer_id"
     )
     n, p, exposed = F.col("n"), F.col("churn_probability"), F.col("revenue_at_risk")
     weighted_p = F.sum(n * p.cast("decimal(18,6)")).cast("double")

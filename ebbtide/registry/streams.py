@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ebbtide.functions.numeric import rounded_total
 from ebbtide.operators.clean import to_bronze_events, to_silver_events
 from ebbtide.operators.fold import unknown_customer_events
+from ebbtide.plans.warehouse import impact_of
 from ebbtide.registry.base import also, money, query
 from ebbtide.registry.ordering import _DELTAS
-from ebbtide.registry.warehouse import _ALERTS
-from ebbtide.session import scratch_path
+from ebbtide.registry.warehouse import _ALERTS, _IMPACT
+from ebbtide.session import scratch_path, written
 from ebbtide.sources import topics
 from ebbtide.sources.projection import customer_events
 from ebbtide.sources.tables import table_stream
@@ -24,7 +24,9 @@ def stream_of(x):
 
 
 def scored_customers(x):
-    return x.valued.withColumnRenamed("customerID", "customer_id")
+    """Stored once, as every micro-batch reads it."""
+    table = x.valued.withColumnRenamed("customerID", "customer_id")
+    return written(table.select("customer_id", "churn_probability", "risk_level", *risk.DECISION_SIGNALS), "scored")
 
 
 def updates(x, version="scorecard-v1"):
@@ -138,16 +140,18 @@ def _(x):
     return done.select("customer_id", "event_type", "risk_level", "recommended_action", "urgency")
 
 
-@query(
-    "m12_streamed_impact",
-    f"""SELECT event_type, COUNT(*) AS event_count, COUNT(*) FILTER (risk_level = 'CRITICAL') AS critical_escalations,
-          {money('SUM(CAST(revenue_at_risk AS DECIMAL(18,6)))')} AS total_associated_risk FROM ev JOIN decided USING (customer_id) GROUP BY event_type""",
-)
+@query("m12_streamed_impact", _IMPACT)
 def _(x):
-    done = ev.run_aggregate(ev.incident_counts(stream_of(x), x.decided))
-    return done.select(
-        "event_type", "event_count", "critical_escalations", rounded_total("total_associated_risk", 2).alias("total_associated_risk")
+    """The incident report over the counts that the stream stored."""
+    folder = scratch_path(x.spark, "incident-counts")
+    job = (
+        stream_of(x).writeStream.foreachBatch(ev.store_counts(folder, "once"))
+        .option("checkpointLocation", scratch_path(x.spark, "stream-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
     )
+    job.awaitTermination()
+    return impact_of(ev.running_counts(x.spark, folder), x.house.predictions)
 
 
 @query("m13_deduplicated_stream", "SELECT event_id, customer_id FROM ev")

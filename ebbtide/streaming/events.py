@@ -1,11 +1,10 @@
-"""Event streams: validation, quarantine, landing, alerts and running counts."""
+"""Event streams: validation, quarantine, landing, alerts and stored counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.functions.numeric import count_of
 from ebbtide.functions.risk import at_risk
 from ebbtide.session import scratch_path
 from ebbtide.vocab import ALERT_EVENTS, EVENT_DELTAS
@@ -43,16 +42,21 @@ def raised_alerts(events: DataFrame, customers: DataFrame) -> DataFrame:
     return raised.join(who, "customer_id")
 
 
-def incident_counts(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Running impact per event type; customers are counted approximately on the stream (the
-    batch report counts them exactly)."""
-    rows = events.join(customers.select("customer_id", "churn_probability", "risk_level", "revenue_at_risk"), "customer_id")
-    return rows.groupBy("event_type").agg(
-        F.count("*").alias("event_count"),
-        F.approx_count_distinct("customer_id").alias("affected_customers_approx"),
-        count_of(F.col("risk_level") == "CRITICAL").alias("critical_escalations"),
-        F.sum(F.col("revenue_at_risk").cast("decimal(18,6)")).cast("double").alias("total_associated_risk"),
-    )
+def store_counts(folder: str, run: str):
+    """A foreachBatch sink of event counts per customer and type, a folder for each micro-batch, which a repeated batch
+    overwrites. Nothing is kept between batches: running totals are the sums over the folders."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy("customer_id", "event_type").agg(F.count("event_id").alias("n"))
+        counted.write.mode("overwrite").parquet(f"{folder}/run={run}/batch_id={batch_id}")
+
+    return store
+
+
+def running_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of all micro-batches so far: customer_id, event_type, n."""
+    stored = spark.read.schema("customer_id string, event_type string, n long").parquet(f"{folder}/run=*/batch_id=*")
+    return stored.groupBy("customer_id", "event_type").agg(F.sum("n").alias("n"))
 
 
 def run_available(
@@ -73,22 +77,3 @@ def run_available(
     )
     job.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
-
-
-def run_aggregate(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Process everything available of a streaming aggregate; the table holds its last state."""
-    spark = stream.sparkSession
-    path = path or scratch_path(spark, "stream-aggregate")
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    job = (
-        stream.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
-        .trigger(availableNow=True)
-        .foreachBatch(replace)
-        .start()
-    )
-    job.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)

@@ -35,7 +35,8 @@ DECISION_SIGNALS = [
 
 
 def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Apply a customer's events of this micro-batch in time order to the kept probability."""
+    """Apply a customer's events of this micro-batch in time order to the kept probability; the
+    customer's signals pass through."""
     events = pd.concat(list(batches), ignore_index=True).sort_values(["timestamp", "event_id"], ignore_index=True)
     start = state.get[0] if state.exists else int(events["p0"].iloc[0])
     d, lo, hi = prefix_maps(np.zeros(len(events), np.int8), events["delta"].to_numpy())
@@ -43,27 +44,28 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
     events["p_after"] = after
     events["p_before"] = np.concatenate(([start], after[:-1]))
     state.update((int(after[-1]),))
-    yield events[["customer_id", "event_id", "event_type", "timestamp", "value", "p_before", "p_after"]]
+    yield events[["customer_id", "event_id", "event_type", "timestamp", "value", "p_before", "p_after", *DECISION_SIGNALS]]
 
 
 def risk_updates(
     events: DataFrame, scored: DataFrame, model_version: str = "unknown", cfg: Settings = DEFAULTS
 ) -> DataFrame:
     """Stream of risk updates. ``scored`` is the static table of scored customers (customer_id,
-    churn_probability, decision signals): it seeds the state and rejects unknown customers."""
+    churn_probability, decision signals): it seeds the state and rejects unknown customers. It is
+    read and joined once per micro-batch, so it should be a stored table."""
     seed = scored.select(
-        "customer_id", (F.col("churn_probability").cast("decimal(18,9)") * UNIT).cast("long").alias("p0")
+        "customer_id", (F.col("churn_probability").cast("decimal(18,9)") * UNIT).cast("long").alias("p0"), *DECISION_SIGNALS
     )
+    schema = ", ".join([_STEP, *(f"{c} {seed.schema[c].dataType.simpleString()}" for c in DECISION_SIGNALS)])
     moves = events.select(
         "customer_id", "event_id", "event_type", F.col("timestamp").cast("timestamp").alias("timestamp"), "value",
         (event_delta("event_type") * F.lit(UNIT)).cast("long").alias("delta"),
     ).join(seed, "customer_id")
     stepped = moves.groupBy("customer_id").applyInPandasWithState(
-        _step, _STEP, "p long", "append", GroupStateTimeout.NoTimeout
+        _step, schema, "p long", "append", GroupStateTimeout.NoTimeout
     )
-    known = stepped.join(scored.select("customer_id", *DECISION_SIGNALS), "customer_id")
     before, after = F.col("p_before") / F.lit(UNIT), F.col("p_after") / F.lit(UNIT)
-    levelled = known.withColumns(
+    levelled = stepped.withColumns(
         {
             "previous_probability": rounded(before, 4),
             "new_probability": rounded(after, 4),
