@@ -368,6 +368,15 @@ def test_line_runs_equal_brute_force(spark, odd, given, none):
     assert line_dedup.without_repeated_lines(none).count() == 0
 
 
+def test_short_passages_of_many_words_go(spark):
+    first, second = " ".join(f"a{k}" for k in range(4)), " ".join(f"b{k}" for k in range(47))
+    texts = [f"{first}\n{second}\nown end", f"{first}\n{second}", f"own start\n\n{first}\n \n{second}", f"{first}\nb0 b1", f"x\n{second}"]
+    docs = spark.createDataFrame([(k, t, "en", "a") for k, t in enumerate(texts)], SCHEMA)
+    found = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in line_dedup.without_repeated_lines(docs, passages=True).collect()}
+    assert found == {0: (0, texts[0]), 1: (2, ""), 2: (2, "own start\n\n "), 3: (0, texts[3]), 4: (0, texts[4])}
+    assert line_dedup.without_repeated_lines(docs).filter("n_removed > 0").isEmpty()  # the rules of the SQL
+
+
 # 10 -----------------------------------------------------------------------------------------------
 def near(docs, size=5, threshold=0.8):
     sets = []
