@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.text import blocks, hashed, split_words
+from ebbtide.llm.text import mixed as mixed_bits
 from ebbtide.session import written
 
 SIDES = ("lang", "topic")
+#: Vectors are stored as multiples of 1 / SCALE; a task sums up to 2^29 rows exactly, all of them up to 2^39.
+SCALE = float(1 << 24)
 
 
 def _vectors(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,28 +33,91 @@ def _vectors(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12), np.diff(offsets)
 
 
+def vector_batches(width: int, block_bytes: int):
+    """Unit vectors of the texts with words, as whole multiples of 1 / ``SCALE``, so that sums don't depend on their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", block_bytes):
+            rows, words = _vectors(block["text"], width)
+            whole = np.round(rows[words > 0] * SCALE).astype("<i4")
+            vectors = pa.array([x.tobytes() for x in whole], pa.binary())
+            yield pa.RecordBatch.from_arrays([block["h"].filter(pa.array(words > 0)), vectors], ["h", "vector"])
+
+    return run
+
+
+def _unpacked(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch["vector"].to_pylist()), "<i4").reshape(-1, width).astype(np.float64)
+
+
+def seed_batches(centres: np.ndarray):
+    """A task's row of the largest weighted draw: the chance of a row is in proportion to its distance from the nearest centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = np.round(_unpacked(batch, centres.shape[1]) / SCALE @ centres.T, 9).max(1, initial=0.0)
+            apart = np.maximum(1 - near, 0)
+            h = batch["h"].to_numpy().view(np.uint64)
+            u = ((mixed_bits(h + np.uint64(len(centres) + 1) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+            draw = np.where(apart > 1e-6, np.log(u) / np.maximum(apart, 1e-6), -np.inf)
+            k = int(draw.argmax())
+            if draw[k] > -np.inf and (best is None or (draw[k], batch["vector"][k].as_py()) > best):
+                best = float(draw[k]), batch["vector"][k].as_py()
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], ["draw", "vector"])
+
+    return run
+
+
+def sum_batches(centres: np.ndarray):
+    """A task's sums of the vectors nearest to each centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(centres.shape, np.int64)
+        for batch in batches:
+            rows = _unpacked(batch, centres.shape[1])
+            nearest = np.round(rows / SCALE @ centres.T, 9).argmax(1)
+            sums += ((nearest[None, :] == np.arange(len(centres))[:, None]).astype(np.float64) @ rows).astype(np.int64)
+        topic, cell = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(topic), pa.array(cell), pa.array(sums[topic, cell])], ["topic", "cell", "total"])
+
+    return run
+
+
 def fit_topics(
-    docs: DataFrame, *, topics: int = 12, most_docs: int = 4000, width: int = 256, rounds: int = 25, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, topics: int = 12, width: int = 256, rounds: int = 25, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20
 ) -> np.ndarray:
-    """Centres of word-count vectors by spherical k-means, on up to ``most_docs`` documents with the smallest hashes of id and text.
+    """Centres of word-count vectors by spherical k-means over all rows with a word, each row counted.
 
-    Only rows whose hash is below a bound, four times the wanted part of all rows, are sorted, so that what moves does not
-    grow with the table. Rows that agree in id and text share a hash and are within the bound together or not at all.
+    The vectors are written once. Starts are drawn among all rows, each next one by its distance from those before
+    (k-means++); the draws depend on ids and texts alone. In a round each task sums its vectors by their nearest centre,
+    which Spark adds up, so that only the sums reach the driver. Rounds end when no centre moves. Fewer distinct vectors
+    than ``topics`` give as many centres as there are; a table without words has one, of zeros.
     """
-    n = docs.count()
     h = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
-    texts = docs.select(F.col(text_col).alias("text"), F.shiftrightunsigned(h, 11).alias("h")).filter("text is not null")
-    chosen = texts.filter(F.col("h") < F.lit(min(1 << 53, (4 * most_docs << 53) // max(n, 1)))).orderBy("h").limit(most_docs).toArrow()["text"].combine_chunks()
-    rng = np.random.default_rng(3)
-    rows, words = _vectors(chosen, width) if len(chosen) else (np.zeros((0, width)), np.zeros(0))
-    rows = rows[words > 0]
-    if len(rows) < topics:
-        return np.eye(topics, width)
-    centres = rows[rng.choice(len(rows), topics, replace=False)]
+    texts = docs.select(h.alias("h"), F.col(text_col).alias("text")).filter("text is not null")
+    vectors = written(texts.mapInArrow(vector_batches(width, block_bytes), "h long, vector binary"), "vectors")
+    centres = np.zeros((0, width))
+    while len(centres) < topics:
+        drawn = vectors.mapInArrow(seed_batches(centres), "draw double, vector binary").orderBy(F.desc("draw"), F.desc("vector")).first()
+        if not drawn:
+            break
+        row = np.frombuffer(drawn["vector"], "<i4").astype(np.float64)
+        centres = np.concatenate((centres, (row / np.linalg.norm(row))[None]))
+    if not len(centres):
+        return np.zeros((1, width))
     for _ in range(rounds):
-        nearest = (rows @ centres.T).argmax(1)
-        sums = np.stack([rows[nearest == k].sum(0) if (nearest == k).any() else centres[k] for k in range(topics)])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        found = vectors.mapInArrow(sum_batches(centres), "topic long, cell long, total long").groupBy("topic", "cell").agg(F.sum("total").alias("total")).toArrow()
+        sums = np.zeros(centres.shape)
+        sums[found["topic"].to_numpy(), found["cell"].to_numpy()] = found["total"].to_numpy()
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        moved = np.where(size > 0, sums / np.maximum(size, 1), centres)  # a centre without rows stays
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
     return centres
 
 

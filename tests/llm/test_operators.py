@@ -157,6 +157,20 @@ def test_raked_weights_meet_all_targets(spark):
     assert found.count() == given.count()
 
 
+def test_topics_are_learnt_from_all_rows(spark):
+    """A topic of 6 among 9,006 documents gets a centre, and a table of few documents is fitted by the same rule."""
+    rare = [(k, " ".join(f"rare{(k + j) % 40}" for j in range(30)), "en", "a") for k in range(6)]
+    common = [(100 + k, " ".join(f"often{(k + j) % 12}" for j in range(12)), "en", "a") for k in range(9000)]
+    docs = spark.createDataFrame(rare + common, SCHEMA).repartition(5)
+    centres = mixing.fit_topics(docs, topics=2)
+    topics = {(r["doc_id"] < 100, r["topic"]) for r in mixing.mixture(docs, centres).select("doc_id", "topic").collect()}
+    assert len(topics) == 2 and len({t for _, t in topics}) == 2
+    assert np.array_equal(centres, mixing.fit_topics(docs.repartition(2), topics=2))
+    few = spark.createDataFrame([(1, "a b c", "en", "a"), (2, "a b c", "en", "a"), (3, "x y z", "en", "a")], SCHEMA)
+    found = {r["doc_id"]: r["topic"] for r in mixing.mixture(few, mixing.fit_topics(few)).collect()}
+    assert mixing.fit_topics(few).shape[0] == 2 and found[1] == found[2] != found[3]
+
+
 def test_raking_equals_a_dense_solution(spark):
     masses = {("s1", "x", 0): 5.0, ("s1", "y", 0): 1.0, ("s2", "x", 0): 2.0, ("s2", "y", 1): 7.0, ("s1", "x", 1): 3.0, ("s3", "y", 0): 4.0}
     cells = spark.createDataFrame([(*k, m) for k, m in masses.items()], "source string, lang string, topic long, mass double")
