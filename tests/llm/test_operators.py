@@ -238,6 +238,15 @@ def test_token_files_give_back_all_documents(spark, odd, given):
         assert docs is odd or stored[0] < 4 * stored[1]
 
 
+def test_blocks_that_start_with_equal_rows(spark):
+    docs = spark.createDataFrame([(None, "one two", "en", "a")] * 9 + [(7, "same text", "en", "a")] * 9, SCHEMA)
+    folder = scratch_path(spark, "files")
+    repair.write_tokens(docs, folder, VOCABULARY, block_bytes=20)
+    found = sorted(repair.read_tokens(spark, folder).collect(), key=lambda r: r["start"])
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in found) == Counter((i, (*encoded(t)[0], 0)) for i, t in texts_of(docs))
+    assert [r["start"] for r in found] == [0, *np.cumsum([r["n_tokens"] for r in found])[:-1].tolist()]
+
+
 def test_overlapping_pairs_and_document_ends():
     ids = np.array([1, 1, 1, 1, 1, 2, 1, 2, 1, 1], np.uint32)
     units = ids, np.arange(11, dtype=np.int64), np.arange(10), np.array([0, 5, 5, 10])
