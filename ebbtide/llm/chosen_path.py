@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.components import components
+from ebbtide.llm.keys import id_keys, row_keys
 from ebbtide.llm.text import blocks, draws, minhash, mixed, shingle_sets
 from ebbtide.session import written
 
@@ -260,6 +261,15 @@ def near_copies(
     empty table gives an empty result; no other column is read. Any share of the rows may be copies: they are counted before
     they are shuffled. A large family is compared tile by tile, each in a task of its own, and no pair leaves its task.
     """
+    classed = _classed(docs, id_col, text_col, size, threshold, recall, leaf, tile, width, slack, depth, seed, block_bytes)
+    return classed.select("doc_id", "class_id", "n_links")
+
+
+def _classed(
+    docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, recall: float, leaf: int, tile: int, width: int, slack: float,
+    depth: int, seed: int, block_bytes: int,
+) -> DataFrame:
+    """Rows with the hash of their text, and the ``label`` of their class, null without words."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
     rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "text")
     signed = written(rows.mapInArrow(sign_batches(size, width, seed, block_bytes), SIGNED), "signed")
@@ -284,15 +294,23 @@ def near_copies(
     classes = components(links.filter("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
     known = sets.join(counts, "node", "left").join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = known.groupBy("label").agg(F.min("least").alias("class_id"))
-    linked = known.join(ids, "label").select("digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    joined = signed.select("doc_id", "digest").join(linked, "digest", "left")
+    linked = known.join(ids, "label").select("digest", "label", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    joined = signed.select("doc_id", "key", "digest").join(linked, "digest", "left")
     return joined.select(
-        "doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
+        "doc_id", "key", "label", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
     )
 
 
-def one_of_each_class(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class (or null), with all their columns."""
-    staying = near_copies(docs, id_col=id_col, text_col=text_col, **options).filter("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
-    number = F.col(id_col).cast("long")
-    return docs.join(staying, number == F.col("_id"), "left_semi").unionByName(docs.filter(number.isNull()))
+def one_of_each_class(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.9999,
+    leaf: int = 2048, tile: int = 192, width: int = 64, slack: float = 0.2, depth: int = 8, seed: int = 7, block_bytes: int = 4 << 20,
+) -> DataFrame:
+    """One row of each class, with all its columns: the one with the smallest id (null last), of those the one with the smallest
+    text hash, of rows that agree in both any one. Every row without words is a class alone and stays."""
+    keys = row_keys(id_col, text_col)
+    classed = _classed(docs, id_col, text_col, size, threshold, recall, leaf, tile, width, slack, depth, seed, block_bytes)
+    first = F.min(F.struct("_none", "_id", F.col("key").alias("_key"))).alias("first")
+    staying = classed.filter("label is not null").withColumns(id_keys(F.col("doc_id"))).groupBy("label").agg(first).select("first.*")
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    single = docs.filter(worded).withColumns(keys).join(staying, list(keys), "left_semi").dropDuplicates(list(keys)).drop(*keys)
+    return single.unionByName(docs.filter(~worded))

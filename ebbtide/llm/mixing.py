@@ -11,9 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm.keys import id_keys, row_keys, text_key
 from ebbtide.llm.text import blocks, hashed, split_words
 from ebbtide.llm.text import mixed as mixed_bits
 from ebbtide.session import written
@@ -126,8 +127,8 @@ def topic_batches(centres: np.ndarray, block_bytes: int):
         for block in blocks(batches, "text", block_bytes):
             rows, words = _vectors(block["text"], centres.shape[1])
             topic = np.where(words > 0, np.round(rows @ centres.T, 9).argmax(1), -1)
-            columns = [block[n] for n in ("doc_id", "source", "lang")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(topic.astype(np.int64)), pa.array(words.astype(np.int64))], ["doc_id", "source", "lang", "topic", "n_tokens"])
+            columns = [block[n] for n in ("doc_id", "key", "source", "lang")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(topic.astype(np.int64)), pa.array(words.astype(np.int64))], ["doc_id", "key", "source", "lang", "topic", "n_tokens"])
 
     return run
 
@@ -244,26 +245,51 @@ def mixture(
 
     ``targets`` has a table (category, ``target``) for each of source, lang and topic; by default shares are tempered by
     ``power``. Null sources and languages are the category ''. A text without words (null, empty) has topic -1, no tokens and is
-    not kept; a category without target has weight 0. Whether a row is kept depends on its id and ``seed`` alone, so that rows
-    which repeat an id share one draw; a null id draws as one id. An empty table gives an empty result. Cells are summed before
-    the shuffle, however large a source is.
+    not kept; a category without target has weight 0. Every row has a draw of its own, by ``seed``, id, text hash, source, language
+    and a number among the rows that agree in all of these, which are counted before they are shuffled. An empty table gives an
+    empty result. Cells are summed before the shuffle, however large a source is.
     """
+    drawn = _drawn(docs, centres, id_col, text_col, source_col, lang_col, power, part, seed, targets, block_bytes)
+    return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+
+
+def _cell_keys(source_col: str, lang_col: str) -> dict[str, Column]:
+    return {n: F.coalesce(F.col(c).cast("string"), F.lit("")) for n, c in (("_source", source_col), ("_lang", lang_col))}
+
+
+def _drawn(
+    docs: DataFrame, centres: np.ndarray, id_col: str, text_col: str, source_col: str, lang_col: str, power: float, part: float, seed: int,
+    targets: dict[str, DataFrame] | None, block_bytes: int,
+) -> DataFrame:
+    cell = _cell_keys(source_col, lang_col)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"),
+        F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("key"), cell["_source"].alias("source"), cell["_lang"].alias("lang"),
+        F.col(text_col).alias("text"),
     )
-    sized = written(rows.mapInArrow(topic_batches(centres, block_bytes), "doc_id long, source string, lang string, topic long, n_tokens long"), "topics")
+    sized = written(rows.mapInArrow(topic_batches(centres, block_bytes), "doc_id long, key long, source string, lang string, topic long, n_tokens long"), "topics")
     cells = written(sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("mass")), "cells")
     targets = targets or tempered(cells, power)
     raked = written(rake(cells, targets), "cells")
     chance = F.least(F.lit(1.0), F.col("weight") * F.lit(scale_for(raked, part)))
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / F.lit(float(1 << 53))
-    joined = sized.join(raked.drop("mass"), ["source", "lang", "topic"]).withColumn("probability", chance)
-    return joined.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", (draw < F.col("probability")).alias("kept"))
+    equal = sized.groupBy("doc_id", "key", "source", "lang", "topic", "n_tokens").agg(F.count(F.lit(1)).alias("equals"))
+    numbered = equal.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("equals"))))
+    draw = F.shiftrightunsigned(F.xxhash64(F.struct("doc_id", "key", "source", "lang", "nth"), F.lit(seed)), 11) / F.lit(float(1 << 53))
+    joined = numbered.join(raked.drop("mass"), ["source", "lang", "topic"]).withColumn("probability", chance)
+    return joined.withColumn("kept", draw < F.col("probability"))
 
 
-def mixed(docs: DataFrame, centres: np.ndarray, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The sampled rows of ``docs``, with all their columns. Rows that share an id stay if one of them is drawn; rows without
-    an id are not drawn."""
-    kept = mixture(docs, centres, id_col=id_col, **options).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long") == F.col("_id"), "left_semi")
+def mixed(
+    docs: DataFrame, centres: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+    power: float = 0.8, part: float = 0.9, seed: int = 1, targets: dict[str, DataFrame] | None = None, block_bytes: int = 4 << 20,
+) -> DataFrame:
+    """The sampled rows of ``docs``, with all their columns: as many as ``mixture`` keeps of those that agree in id, text, source
+    and language. Only where some but not all of such rows are kept are they brought together and numbered."""
+    keys = {**row_keys(id_col, text_col), **_cell_keys(source_col, lang_col)}
+    drawn = _drawn(docs, centres, id_col, text_col, source_col, lang_col, power, part, seed, targets, block_bytes)
+    named = drawn.withColumns(id_keys(F.col("doc_id"))).withColumnsRenamed({"key": "_key", "source": "_source", "lang": "_lang"})
+    counts = written(named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.count_if("kept").alias("_kept")).filter("_kept > 0"), "drawn")
+    keyed = docs.withColumns(keys)
+    whole = keyed.join(counts.filter("_kept = _all"), list(keys), "left_semi").drop(*keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_id"))
+    some = keyed.join(counts.filter("_kept < _all"), list(keys)).withColumn("_nth", nth).filter("_nth <= _kept").drop(*keys, "_all", "_kept", "_nth")
+    return whole.unionByName(some)

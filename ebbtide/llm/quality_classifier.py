@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.keys import id_keys, row_keys, text_key
 from ebbtide.llm.labelled import sample
 from ebbtide.llm.lines import measure, text_features
 from ebbtide.llm.text import blocks
@@ -58,7 +59,7 @@ def evidence_batches(weights: np.ndarray, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", block_bytes):
             odds = np.clip(text_features(measure(block["text"])) @ weights, -12, 12)
-            yield pa.RecordBatch.from_arrays([block["doc_id"], block["host"], block["path"], pa.array(odds)], ["doc_id", "host", "path", "odds"])
+            yield pa.RecordBatch.from_arrays([*(block[n] for n in ("doc_id", "key", "host", "path")), pa.array(odds)], ["doc_id", "key", "host", "path", "odds"])
 
     return run
 
@@ -93,12 +94,22 @@ def site_quality(
     empty table gives an empty result. Sums over sites are built before the shuffle, so that a site may hold any share of the
     rows; the join with the sites has one row for each site on its other side, which Spark splits or broadcasts by its size.
     """
+    judged = _judged(docs, weights, id_col, text_col, host, path, least, block_bytes)
+    return judged.select("doc_id", "evidence", "site", "probability", "kept")
+
+
+def _site_keys(host: str | Column, path: str | Column) -> dict[str, Column]:
     as_column = lambda c: c if isinstance(c, Column) else F.col(c)
+    return {n: F.coalesce(as_column(c).cast("string"), F.lit("\0")) for n, c in (("_host", host), ("_path", path))}
+
+
+def _judged(docs: DataFrame, weights: np.ndarray, id_col: str, text_col: str, host: str | Column, path: str | Column, least: float, block_bytes: int) -> DataFrame:
+    site_of = _site_keys(host, path)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(as_column(host).cast("string"), F.lit("\0")).alias("host"),
-        F.coalesce(as_column(path).cast("string"), F.lit("\0")).alias("path"), F.col(text_col).alias("text"),
+        F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("key"), site_of["_host"].alias("host"), site_of["_path"].alias("path"),
+        F.col(text_col).alias("text"),
     )
-    scored = written(rows.mapInArrow(evidence_batches(weights, block_bytes), "doc_id long, host string, path string, odds double"), "evidence")
+    scored = written(rows.mapInArrow(evidence_batches(weights, block_bytes), "doc_id long, key long, host string, path string, odds double"), "evidence")
     scored = scored.withColumn("evidence", 1 / (1 + F.exp(-F.col("odds"))))
     exact = F.sum(F.col("evidence").cast("decimal(20,12)")).cast("double")
     paths = written(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), exact.alias("s")), "paths")
@@ -114,13 +125,16 @@ def site_quality(
     site = F.least(F.greatest((F.col("path_s") - own + k_path * host_mean) / (F.col("path_n") - 1 + k_path), F.lit(1e-6)), F.lit(1 - 1e-6))
     odds = F.col("odds") + _logit(site) - float(np.log(prior / (1 - prior)))
     found = joined.withColumn("site", site).withColumn("probability", 1 / (1 + F.exp(-odds)))
-    return found.select("doc_id", "evidence", "site", "probability", (F.col("probability") >= least).alias("kept"))
+    return found.select("doc_id", "key", "host", "path", "evidence", "site", "probability", (F.col("probability") >= least).alias("kept"))
 
 
-def good_documents(docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Rows that share an id go when each of them is rejected;
-    rows without an id stay."""
-    number = F.col(id_col).cast("long")
-    verdicts = site_quality(docs, weights, id_col=id_col, text_col=text_col, **options)
-    kept = verdicts.filter("doc_id is not null and kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, number == F.col("_id"), "left_semi").unionByName(docs.filter(number.isNull()))
+def good_documents(
+    docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", host: str | Column = "source",
+    path: str | Column = "lang", least: float = 0.5, block_bytes: int = 4 << 20,
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns. A verdict holds for the rows of its id (or without one), text
+    and site, which are judged alike, so that neither null nor repeated ids keep a rejected row."""
+    keys = {**row_keys(id_col, text_col), **_site_keys(host, path)}
+    kept = _judged(docs, weights, id_col, text_col, host, path, least, block_bytes).filter("kept")
+    kept = kept.withColumns(id_keys(F.col("doc_id"))).select("_id", "_none", F.col("key").alias("_key"), F.col("host").alias("_host"), F.col("path").alias("_path"))
+    return docs.withColumns(keys).join(kept.distinct(), list(keys), "left_semi").drop(*keys)

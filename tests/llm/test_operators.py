@@ -479,6 +479,26 @@ def test_odd_rows_are_mixed_without_loss(odd):
     assert mixing.mixed(odd, mixing.fit_topics(odd)).columns == odd.columns
 
 
+def test_decisions_hold_for_rows_that_share_an_id_or_have_none(spark):
+    junk = "### $$$ *** " * 40
+    known = spark.createDataFrame([(k, PROSE if k % 2 else junk, "en", f"s{k % 4}") for k in range(200)], SCHEMA)
+    weights = quality_classifier.fit_classifier(known, known.select("doc_id", F.pmod("doc_id", F.lit(2)).alias("quality")))
+    docs = known.unionByName(spark.createDataFrame([(i, t, "en", None) for i in (None, 1) for t in (PROSE + " x", junk + " x", PROSE + " x")], SCHEMA))
+    good = quality_classifier.good_documents(docs, weights)
+    assert rows(good, "doc_id", "text") == Counter((r["doc_id"], r["text"]) for r in docs.collect() if "###" not in r["text"])
+    near_ = [(None, PROSE + f" end{k}", "en", "a") for k in range(4)] + [(5, LONG + f" end{k}", "en", "a") for k in range(4)] + [(6, LONG, "en", "a")]
+    near_ += [(5, "another text", "en", "a")] * 3 + [(None, None, "en", "a"), (None, None, "en", "a"), (None, "alone", "en", "a")]
+    single = chosen_path.one_of_each_class(spark.createDataFrame(near_, SCHEMA).repartition(3)).collect()
+    kinds = Counter((r["doc_id"], r["text"] and ("prose" if r["text"].startswith(PROSE) else "long" if r["text"].startswith(LONG) else r["text"])) for r in single)
+    assert kinds == {(None, "prose"): 1, (5, "long"): 1, (5, "another text"): 1, (None, None): 2, (None, "alone"): 1}
+    many = [(i, f"{i} text number {k}", "en", "a") for i in (None, 1) for k in range(300)] + [(2, "equal text here", "en", "a")] * 200
+    docs = spark.createDataFrame(many, SCHEMA).repartition(3)
+    options = {"centres": np.zeros((1, 256)), "power": 1.0, "part": 0.5}
+    drawn = rows(mixing.mixture(docs, **options).filter("kept"), "doc_id")
+    assert all(0.35 * n < drawn[i,] < 0.65 * n for i, n in ((None, 300), (1, 300), (2, 200)))
+    assert rows(mixing.mixed(docs, **options), "doc_id") == drawn
+
+
 def test_pipeline_stages_keep_what_their_operators_say(spark, given):
     import corpus_pipeline as pipeline
 
