@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import bpe, chosen_path, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, repair, rollups, url_filter
+from ebbtide.llm import (
+    alignment, bpe, chosen_path, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, repair, rollups, toxicity, url_filter, vector_codes,
+)
 from ebbtide.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,11 +84,57 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit_machine(docs, _table(spark, sf_dir, "labels")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(_table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """The rounds of vector coding as one chain of tables."""
+
+    def assigned(k: int) -> str:
+        return f"""
+near{k} AS MATERIALIZED (
+  SELECT r, part, MIN(apart) AS apart, ARG_MIN(entry, apart * {entries} + entry) AS entry
+  FROM (SELECT c.r, c.part, b.entry, SUM((c.x - b.c) * (c.x - b.c))::BIGINT AS apart FROM comps c JOIN book{k} b ON c.part = b.part AND c.place = b.place GROUP BY ALL)
+  GROUP BY r, part)"""
+
+    def moved(k: int) -> str:
+        return f"""
+book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, COALESCE((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.c) AS c
+  FROM book{k} b LEFT JOIN (
+    SELECT c.part, n.entry, c.place, SUM(c.x)::BIGINT AS s, COUNT(*) AS n FROM comps c JOIN near{k} n ON n.r = c.r AND n.part = c.part GROUP BY ALL) m
+  ON m.part = b.part AND m.entry = b.entry AND m.place = b.place)"""
+
+    chain = ",".join(assigned(k) + "," + moved(k) for k in range(rounds)) + "," + assigned(rounds)
+    return rf"""
+WITH kept AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding FROM embeddings
+  WHERE LEN(embedding) > 0 AND LEN(LIST_FILTER(embedding, lambda x: x IS NOT NULL AND ISFINITE(x))) = LEN(embedding)),
+flat AS (SELECT r, LEN(embedding) // {parts} AS width, UNNEST(embedding) AS x, UNNEST(RANGE(LEN(embedding))) AS k FROM kept),
+comps AS MATERIALIZED (SELECT r, k // width AS part, k % width AS place, FLOOR(4096 * x::DOUBLE)::BIGINT AS x FROM flat),
+book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, place, x AS c FROM comps WHERE r <= {entries}),{chain},
+coded AS (SELECT r, STRING_AGG(PRINTF('%02x', entry::INTEGER), '' ORDER BY part) AS code, SUM(apart)::BIGINT AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, SUM(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT SHA256(STRING_AGG(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded ON coded.r = kept.r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_bpe, op3_mixing, op4_url_filters, op5_repair, op6_token_counts, op7_quality_classifier, op8_exact_dedup,
-        op9_line_dedup, op10_ngram_jaccard,
+        op9_line_dedup, op10_ngram_jaccard, op11_alignment, op12_toxicity, op13_vector_codes,
     )
 }
 
@@ -154,4 +203,5 @@ links AS (
 reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.to_id)
 SELECT doc_id, MIN(to_id) AS class_id, (SELECT COUNT(*) FROM links WHERE a = reach.doc_id) AS n_links FROM reach GROUP BY doc_id
 """,
+    "op13_vector_codes": _codes_sql(8, 16, 6),
 }

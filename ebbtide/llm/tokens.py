@@ -1,7 +1,8 @@
 """Byte-level BPE with a public vocabulary file, by distinct words of a block of texts.
 
-The vocabulary is a ``tokenizers`` JSON file whose merges are in order of their ids. Texts of well-known characters are
-encoded through their distinct words with the same merges in ``tiktoken``; every other text by the ``tokenizers`` library.
+The vocabulary is a ``tokenizers`` JSON file. Texts of well-known characters are encoded through their distinct words with the
+same merges in ``tiktoken``; every other text by the ``tokenizers`` library. That the two agree needs a file whose merges are in
+order of their ids and lead to every piece, which is checked when a file is loaded: of another file, every text goes to the library.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def byte_letters() -> dict[int, str]:
 class Vocabulary:
     """Encoder and id-to-piece table of one file; ``load`` keeps one per Python worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.library = Tokenizer.from_file(path)
@@ -51,14 +52,27 @@ class Vocabulary:
         self.merges = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.newline = ranks[b"\n"]
         self.opens = np.array([pieces.get(i, b"")[:1] == b" " for i in range(self.size)])
+        self.in_order = self._in_order(described["model"], ranks)
+        if plain_specials:  # their strings in a text are then ordinary text
+            self.library.encode_special_tokens = True
+            self.specials = {}
 
     @staticmethod
     @functools.lru_cache(maxsize=2)
-    def load(path: str) -> Vocabulary:
-        return Vocabulary(path)
+    def load(path: str, plain_specials: bool = False) -> Vocabulary:
+        return Vocabulary(path, plain_specials)
+
+    def _in_order(self, model: dict, ranks: dict[bytes, int]) -> bool:
+        """Whether merges give ascending ids, one for every piece of more than a byte, and lead from bytes to every piece."""
+        merged = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        ids = [model["vocab"].get("".join(m), -1) for m in merged]
+        rising = all(a < b for a, b in zip(ids, ids[1:], strict=False)) and set(ids) == {i for piece, i in ranks.items() if len(piece) > 1}
+        return rising and all(self.merges.encode_single_token(p) == i and self.merges._encode_single_piece(p) == [i] for p, i in ranks.items())
 
     def regular(self, texts: pa.Array) -> np.ndarray:
         """Which texts may be split at their single blanks and line ends."""
+        if not self.in_order:
+            return np.zeros(len(texts), bool)
         fits = pc.match_substring_regex(texts, REGULAR)
         for special in self.specials:
             fits = pc.and_(fits, pc.invert(pc.match_substring(texts, special)))
@@ -91,9 +105,9 @@ class Vocabulary:
                 found += [part[a:b] for _, (a, b) in spans]
         return found
 
-    def _keys(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-        """Of regular texts: each word's place among the distinct ones, where each text starts, the distinct words'
-        strings, and whether a blank stands before them."""
+    def keys(self, texts: pa.Array, blank_first: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Of regular texts: each word's place among the distinct ones, where each text starts, the distinct words' strings,
+        and whether a blank stands before them; those with one come first. ``blank_first``: as if each text began with a blank."""
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
@@ -101,7 +115,8 @@ class Vocabulary:
         ids, vocabulary = both.indices.to_numpy(zero_copy_only=False), both.dictionary
         ends = ids == pc.index(vocabulary, "\n").as_py()
         keys = ids * 2 + 1
-        bare = np.concatenate((offsets[:-1][np.diff(offsets) > 0], np.flatnonzero(ends), np.flatnonzero(ends) + 1))
+        firsts = offsets[:0] if blank_first else offsets[:-1][np.diff(offsets) > 0]
+        bare = np.concatenate((firsts, np.flatnonzero(ends), np.flatnonzero(ends) + 1))
         bare = bare[bare < len(ids)]
         keys[bare] = ids[bare] * 2
         seen = np.zeros(2 * len(vocabulary), bool)
@@ -113,11 +128,15 @@ class Vocabulary:
         return place[keys], offsets, vocabulary.take(pa.array(used // 2)), used % 2 == 1
 
     def _regular_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        at, offsets, strings, spaced = self._keys(texts)
+        at, offsets, strings, spaced = self.keys(texts)
         return at, offsets, [" " + w if s else w for w, s in zip(strings.to_pylist(), spaced.tolist(), strict=True)]
 
     def _regular_units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        at, offsets, strings, spaced = self._keys(texts)
+        at, offsets, strings, spaced = self.keys(texts)
+        return *self.encode_keys(strings, spaced), at, offsets
+
+    def encode_keys(self, strings: pa.Array, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of ``keys`` and where each word's ids start."""
         n = int(spaced.sum())
         line_end = pc.index(strings, "\n").as_py()
         found, starts = [], []
@@ -140,7 +159,7 @@ class Vocabulary:
             starts.append(first + sum(map(len, found)))
             found.append(ids)
         ids = np.concatenate(found) if found else np.empty(0, np.uint32)
-        return ids, np.concatenate([*starts, [len(ids)]]).astype(np.int64), at, offsets
+        return ids, np.concatenate([*starts, [len(ids)]]).astype(np.int64)
 
     def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Texts (no nulls) as sequences of distinct units: ids of all units, where each unit's ids start, each unit's
