@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.text import blocks, coded, hashed, split_words
+from ebbtide.llm.text import blocks, coded, flat, hashed, split_words
+from ebbtide.session import written
 
 #: Fixed value: punctuation that is cut off both ends of a word.
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…¡¿–—"
@@ -88,28 +89,43 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
-def telling(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray, least: int, least_gain: float) -> np.ndarray:
-    """Cells of ``least`` texts or more whose presence tells something about the label: a log-likelihood ratio (G squared)
-    of ``least_gain`` or more."""
-    cells, at = np.unique(terms, return_inverse=True)
-    with_, n, ones = np.bincount(at, minlength=len(cells)), len(labels), labels.sum()
-    hits = np.bincount(at, np.repeat(labels, np.diff(starts)), minlength=len(cells))
+def telling(rows: DataFrame, least: int, least_gain: float) -> DataFrame:
+    """Cells of ``least`` texts or more of ``rows`` (``label``, ``terms``) whose presence tells something about the label: a
+    log-likelihood ratio (G squared) of ``least_gain`` or more."""
+    both = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
+    n, ones = both["n"], both["ones"] or 0
+    if not 0 < ones < n:
+        return rows.select(F.explode("terms").alias("cell")).limit(0)
+    cells = rows.select("label", F.explode("terms").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("seen"), F.sum("label").alias("hits"))
+    seen, hits = F.col("seen"), F.col("hits")
+
+    def gain(count: Column, expected: Column) -> Column:
+        return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
+
+    found = gain(hits, seen * (ones / n)) + gain(seen - hits, seen * ((n - ones) / n))
+    found += gain(ones - hits, (n - seen) * (ones / n)) + gain(n - seen - ones + hits, (n - seen) * ((n - ones) / n))
+    return cells.filter((seen >= least) & (seen < n) & (2 * found >= least_gain)).select("cell")
+
 
-    def gain(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return np.where(count > 0, count * np.log(np.maximum(count, 1) / np.maximum(expected, 1e-300)), 0)
+def told_batches(cells: np.ndarray):
+    """Rows with the terms in ``cells`` (ascending) only."""
 
-    found = 2 * (
-        gain(hits, with_ * ones / n) + gain(with_ - hits, with_ * (n - ones) / n)
-        + gain(ones - hits, (n - with_) * ones / n) + gain(n - with_ - ones + hits, (n - with_) * (n - ones) / n)
-    )
-    return cells[(with_ >= least) & (found >= least_gain)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, starts = flat(batch["terms"])
+            keep = np.isin(terms.to_numpy(zero_copy_only=False), cells)
+            starts = np.concatenate(([0], np.cumsum(keep)))[starts]
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), terms.filter(pa.array(keep)))
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], lists], ["id", "label", "terms"])
+
+    return run
 
 
 def fit(
-    terms: np.ndarray, starts: np.ndarray, labels: np.ndarray, bits: int, *, width: int = 8, least: int = 4, least_gain: float = 10.8,
-    epochs: int = 12, batch: int = 256, rate: float = 0.02, decay: float = 0.02, seed: int = 3,
+    terms: np.ndarray, starts: np.ndarray, labels: np.ndarray, bits: int, *, width: int = 8, epochs: int = 12, batch: int = 256,
+    rate: float = 0.02, decay: float = 0.02, seed: int = 3,
 ) -> Machine:
-    """Weights and factors of least logistic loss, by Adam on small batches with decoupled decay, over the telling terms.
+    """Weights and factors of least logistic loss, by Adam on small batches with decoupled decay.
 
     Labels of one kind only give a machine of a constant; no labels at all the odds of 1 to 10,000.
     """
@@ -117,11 +133,7 @@ def fit(
     constant = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return Machine(bits, constant, np.empty(0, np.int64), np.empty(0), np.empty((0, width)))
-    cells = telling(terms, starts, labels, least, least_gain)
-    place = np.searchsorted(cells, terms)
-    keep = cells[np.minimum(place, len(cells) - 1)] == terms if len(cells) else np.zeros(len(terms), bool)
-    starts = np.concatenate(([0], np.cumsum(keep)))[starts]
-    at = place[keep]
+    cells, at = np.unique(terms, return_inverse=True)
     rng = np.random.default_rng(seed)
     # one row a cell: its weight, then its factors
     theta = np.concatenate((np.zeros((len(cells), 1)), rng.normal(0, 0.01, (len(cells), width))), 1)
@@ -166,23 +178,26 @@ def term_batches(bits: int, block_bytes: int):
 
 def fit_machine(
     docs: DataFrame, labels: DataFrame, *, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most_docs: int = 20_000,
-    bits: int = 18, parts: int = 4, held: int = 2, block_bytes: int = 4 << 20, **options,
+    bits: int = 18, least: int = 4, least_gain: float = 10.8, parts: int = 4, held: int = 2, block_bytes: int = 4 << 20, **options,
 ) -> Machine:
     """The machine of up to ``most_docs`` labelled documents, those with the smallest hashes of their ids.
 
     Ids whose crc32 (of their decimal text) leaves ``held`` when divided by ``parts`` are held out and never learnt from. Rows
     without an id or a label don't count; of contradicting labels the larger holds, and of rows that share an id the one whose
-    terms come first. Terms are found in tasks; only the distinct terms of the chosen documents reach the driver.
+    terms come first. Terms are found and counted in tasks; what reaches the driver are the telling terms, which ``least`` chosen
+    documents have and whose ``gain`` is not chance, of each chosen document.
     """
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & _learns(id_col, parts, held))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("id", F.lit(12)), "id").limit(most_docs)  # at most most_docs rows: broadcast
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     found = texts.select("id", "label", "text").mapInArrow(term_batches(bits, block_bytes), "id long, label int, terms array<int>")
-    found = found.groupBy("id").agg(F.min(F.struct("terms", "label")).alias("one")).orderBy("id").select("one.*").toArrow()
-    lists = found["terms"].combine_chunks()
+    rows = written(found.groupBy("id").agg(F.min(F.struct("terms", "label")).alias("one")).select("id", "one.*"), "toxic-terms")
+    cells = np.sort(telling(rows, least, least_gain).toArrow()["cell"].to_numpy())  # at most 2^bits
+    told = rows.mapInArrow(told_batches(cells), "id long, label int, terms array<int>").orderBy("id").toArrow()
+    lists = told["terms"].combine_chunks()
     starts = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))).astype(np.int64)
-    return fit(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), starts, found["label"].to_numpy().astype(float), bits, **options)
+    return fit(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), starts, told["label"].to_numpy().astype(float), bits, **options)
 
 
 def score_batches(machine: Machine, block_bytes: int):
