@@ -19,25 +19,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.components import components
-from ebbtide.llm.keys import id_keys, row_keys
+from ebbtide.llm.keys import id_keys, packed, row_keys, unpacked
 from ebbtide.llm.text import blocks, draws, minhash, mixed, shingle_sets
 from ebbtide.session import written
 
 SIGNED = "row long, doc_id long, key long, digest binary, n_shingles long, signature binary, sketch binary"
 
 
-def runs_for(recall: float, threshold: float) -> int:
+def runs_for(recall: float, threshold: float, depth: int) -> int:
     """Runs after which a pair at the threshold is missed with probability ``1 - recall`` at most.
 
-    A run's first split keeps a pair together with probability ``threshold``. Each later split has two children, so that a
-    pair which is together gets through a further level with ``1 - (1 - threshold * p)^2``; ``p`` is its fixed point.
+    A run's first split keeps a pair together with probability ``threshold``. Each of up to ``depth`` later splits has two
+    children: a pair that gets through the levels below with ``p`` gets through one more with ``1 - (1 - threshold * p)^2``.
     """
-    p = threshold
-    for _ in range(99):
+    p = 1.0
+    for _ in range(depth):
         p = 1 - (1 - threshold * p) ** 2
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold * p)))
 
 
+def sketch_misses(threshold: float, slack: float, width: int) -> float:
+    """Probability that the sketches of a pair at the threshold agree in too few of their ``width`` bytes."""
+    same, least = threshold + (1 - threshold) / 256, int((threshold - slack) * width)
+    return sum(math.comb(width, k) * same**k * (1 - same) ** (width - k) for k in range(least))
+
+
 def sign_batches(size: int, width: int, seed: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, factors = draws(seed, width)
@@ -226,7 +232,10 @@ def _sorted(df: DataFrame, *keys: str) -> DataFrame:
 
 def candidate_edges(members: DataFrame, *, threshold: float, recall: float, leaf: int, slack: float, width: int, depth: int) -> DataFrame:
     """Edges that connect the members of each candidate family (``node``, ``signature``, ``sketch``)."""
-    runs = min(width, runs_for(recall, threshold))
+    lost = sketch_misses(threshold, slack, width)
+    runs = runs_for(recall + lost, threshold, depth) if recall + lost < 1 else width + 1
+    if runs > width:
+        raise ValueError(f"signatures of width {width} cannot reach recall {recall} at threshold {threshold}: take a lower recall or a larger width")
     coordinates = np.random.default_rng(runs).permutation(width)[:runs].tolist()
     level = members.select("node", "signature").mapInArrow(split_batches(coordinates), "bucket long, node long")
     found = None
@@ -279,11 +288,15 @@ def _classed(
     members = written(signed.join(heads, "row").select(F.col("row").alias("node"), "doc_id", "key", "digest", "signature", "sketch", "copies"), "heads")
     edges = candidate_edges(members, threshold=threshold, recall=recall, leaf=leaf, slack=slack, width=width, depth=depth)
     families = components(edges).withColumnRenamed("label", "family")
+    # A member's text is found again by id and text hash; where several rows agree in both, one of them is taken.
+    equal = signed.groupBy("doc_id", "key").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("node", F.lit(True).alias("several"))
     tiles = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("long").alias("tiles"))
     placed = families.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     sought = placed.join(members.select("node", "digest", "copies", F.col("doc_id").alias("of"), F.col("key").alias("of_key")), "node")
+    sought = written(sought.join(equal, "node", "left").withColumn("several", F.coalesce("several", F.lit(False))), "sought")
     own = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
-    found = texts.join(sought, own).select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
+    matched = texts.join(sought.filter("not several"), own).unionByName(texts.join(sought.filter("several"), own).dropDuplicates(["node"]))
+    found = matched.select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
         set_batches(size, block_bytes), "node long, family long, tiles long, tile long, copies long, shingles binary"
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
@@ -312,5 +325,5 @@ def one_of_each_class(
     first = F.min(F.struct("_none", "_id", F.col("key").alias("_key"))).alias("first")
     staying = classed.filter("label is not null").withColumns(id_keys(F.col("doc_id"))).groupBy("label").agg(first).select("first.*")
     worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    single = docs.filter(worded).withColumns(keys).join(staying, list(keys), "left_semi").dropDuplicates(list(keys)).drop(*keys)
-    return single.unionByName(docs.filter(~worded))
+    single = packed(docs.filter(worded), keys).join(staying, list(keys), "left_semi").dropDuplicates(list(keys))
+    return unpacked(single).unionByName(docs.filter(~worded))

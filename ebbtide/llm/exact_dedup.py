@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm.keys import packed, unpacked
 from ebbtide.llm.text import blocks
 from ebbtide.session import written
 
@@ -134,6 +135,6 @@ def without_copies(
     staying = staying.select(
         F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("n_points").cast("int").alias("_length"), F.col("text_sha256").alias("_sha")
     )
-    matched = docs.withColumns(keys).join(staying, list(keys), "left_semi")
+    matched = packed(docs, keys).join(staying, list(keys), "left_semi")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_id"))
-    return matched.withColumn("_nth", nth).filter("_nth = 1").drop(*keys, "_nth")
+    return unpacked(matched.withColumn("nth", nth).filter("nth = 1"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,5 +15,14 @@ def row_keys(id_col: str, text_col: str) -> dict[str, Column]:
     return {**id_keys(F.col(id_col).cast("long")), "_key": text_key(text_col)}
 
 
+def packed(docs: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``docs`` as one struct ``row`` beside its keys, so that keys never meet columns of the same name; ``unpacked`` undoes it."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(n) for n, c in keys.items()))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
 def id_keys(number: Column) -> dict[str, Column]:
     return {"_id": F.coalesce(number, F.lit(0)), "_none": number.isNull()}

@@ -68,7 +68,7 @@ def repeated_windows(docs: DataFrame, span: int, long_line: int, passages: bool)
     found = written(windows(docs, span, long_line, passages), "line-windows")
     places = found.select("doc_id", "key", "mark", "at").distinct()
     marks = places.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    candidates = written(found.join(marks, "mark", "left_semi"), "line-matches")
+    candidates = written(found.join(written(marks, "line-marks"), "mark", "left_semi"), "line-matches")
     here = F.struct("doc_id", "key", "start")
     first = candidates.groupBy("n", "a", "b").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     matched = candidates.join(written(first.select("n", "a", "b", "first"), "line-firsts"), ["n", "a", "b"])
@@ -85,8 +85,9 @@ def without_repeated_lines(
     and occurs earlier; with ``passages`` also if it belongs to two lines or more, fewer than ``span``, that have ``long_line`` words
     together and occur earlier. Documents come in the order of id (null first), then of a hash of the text; rows that agree in both are one
     document and are treated alike. Null texts count as empty: no lines, an empty kept text. An empty table gives an empty
-    result; other columns are not read. A line that any share of the documents has is counted before it is shuffled, and the
-    join with the earliest windows has one row for each content on its other side.
+    result; other columns are not read. A very long text is one row, whose windows are rows of their own. A line that any share of
+    the documents has is counted before it is shuffled; the fingerprints that repeat, and the earliest windows, are written before
+    they are joined, one row each, so that Spark splits or broadcasts by their size.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("key", F.xxhash64("text"))
@@ -97,4 +98,4 @@ def without_repeated_lines(
     joined = lines.join(gone, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     kept = F.array_join(F.transform(left, lambda k: F.get(F.col("lines"), k)), "\n")
-    return joined.select("doc_id", F.col("n_lines").cast("long"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept_text"))
+    return joined.select("doc_id", F.col("n_lines").cast("long"), F.size(F.coalesce("gone", F.array().cast("array<int>"))).cast("long").alias("n_removed"), kept.alias("kept_text"))

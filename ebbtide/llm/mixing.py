@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.keys import id_keys, row_keys, text_key
+from ebbtide.llm.keys import id_keys, packed, row_keys, text_key, unpacked
 from ebbtide.llm.text import blocks, hashed, split_words
 from ebbtide.llm.text import mixed as mixed_bits
 from ebbtide.session import written
 
 SIDES = ("lang", "topic")
-#: Vectors are stored as multiples of 1 / SCALE; a task sums up to 2^29 rows exactly, all of them up to 2^39.
-SCALE = float(1 << 24)
+#: Vectors are stored as multiples of 1 / SCALE in two bytes; float64 sums of a batch and int64 sums of all rows are exact.
+SCALE = float(1 << 14)
 
 
 def _vectors(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +40,7 @@ def vector_batches(width: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", block_bytes):
             rows, words = _vectors(block["text"], width)
-            whole = np.round(rows[words > 0] * SCALE).astype("<i4")
+            whole = np.round(rows[words > 0] * SCALE).astype("<i2")
             vectors = pa.array([x.tobytes() for x in whole], pa.binary())
             yield pa.RecordBatch.from_arrays([block["h"].filter(pa.array(words > 0)), vectors], ["h", "vector"])
 
@@ -48,77 +48,128 @@ def vector_batches(width: int, block_bytes: int):
 
 
 def _unpacked(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch["vector"].to_pylist()), "<i4").reshape(-1, width).astype(np.float64)
+    return np.frombuffer(b"".join(batch["vector"].to_pylist()), "<i2").reshape(-1, width).astype(np.float64)
 
 
-def seed_batches(centres: np.ndarray):
-    """A task's row of the largest weighted draw: the chance of a row is in proportion to its distance from the nearest centre."""
+def _near(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Rounded cosines, so that ties don't hang on the last bits of a sum."""
+    return np.round(rows / SCALE @ centres.T, 9)
+
+
+def seed_batches(centres: np.ndarray, most: int):
+    """A task's ``most`` rows of the largest weighted draws: a row's chance is in proportion to its distance from the nearest
+    centre."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
+        best: set[tuple[float, bytes]] = set()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = np.round(_unpacked(batch, centres.shape[1]) / SCALE @ centres.T, 9).max(1, initial=0.0)
-            apart = np.maximum(1 - near, 0)
+            apart = np.maximum(1 - _near(_unpacked(batch, centres.shape[1]), centres).max(1, initial=0.0), 0)
             h = batch["h"].to_numpy().view(np.uint64)
             u = ((mixed_bits(h + np.uint64(len(centres) + 1) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
             draw = np.where(apart > 1e-6, np.log(u) / np.maximum(apart, 1e-6), -np.inf)
-            k = int(draw.argmax())
-            if draw[k] > -np.inf and (best is None or (draw[k], batch["vector"][k].as_py()) > best):
-                best = float(draw[k]), batch["vector"][k].as_py()
-        if best:
-            yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], ["draw", "vector"])
+            for k in np.argsort(-draw, kind="stable")[: 4 * most].tolist():
+                if draw[k] > -np.inf:
+                    best.add((float(draw[k]), batch["vector"][k].as_py()))
+            best = set(sorted(best, reverse=True)[: 4 * most])
+        found = sorted(best, reverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.float64()), pa.array([v for _, v in found], pa.binary())], ["draw", "vector"])
 
     return run
 
 
 def sum_batches(centres: np.ndarray):
-    """A task's sums of the vectors nearest to each centre."""
+    """A task's sums of the vectors nearest to each centre; cell -1 has their number, and the sum of their rounded cosines is
+    the last topic's, in millionths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(centres.shape, np.int64)
+        sums, counts, close = np.zeros(centres.shape, np.int64), np.zeros(len(centres), np.int64), 0
         for batch in batches:
             rows = _unpacked(batch, centres.shape[1])
-            nearest = np.round(rows / SCALE @ centres.T, 9).argmax(1)
+            if not len(rows):
+                continue
+            near = _near(rows, centres)
+            nearest = near.argmax(1)
             sums += ((nearest[None, :] == np.arange(len(centres))[:, None]).astype(np.float64) @ rows).astype(np.int64)
+            counts += np.bincount(nearest, minlength=len(centres))
+            close += int(np.round(near.max(1) * 1e6).sum())
         topic, cell = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(topic), pa.array(cell), pa.array(sums[topic, cell])], ["topic", "cell", "total"])
+        used = np.flatnonzero(counts)
+        columns = [np.concatenate((topic, used, [len(centres)])), np.concatenate((cell, np.full(len(used) + 1, -1))), np.concatenate((sums[topic, cell], counts[used], [close]))]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["topic", "cell", "total"])
 
     return run
 
 
+def _round(vectors: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """All rows' sums and numbers by their nearest centre, and the sum of their cosines in millionths."""
+    found = vectors.mapInArrow(sum_batches(centres), "topic long, cell long, total long").groupBy("topic", "cell").agg(F.sum("total").alias("total")).toArrow()
+    topic, cell, total = (found[c].to_numpy() for c in ("topic", "cell", "total"))
+    sums, counts = np.zeros(centres.shape), np.zeros(len(centres), np.int64)
+    inner = cell >= 0
+    sums[topic[inner], cell[inner]] = total[inner]
+    own = ~inner & (topic < len(centres))
+    counts[topic[own]] = total[own]
+    return sums, counts, int(total[topic == len(centres)].sum())
+
+
+def _moved(sums: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(sums, axis=1, keepdims=True)
+    return np.where(size > 0, sums / np.maximum(size, 1e-12), centres)  # a centre without rows stays
+
+
+def _reduced(candidates: np.ndarray, weights: np.ndarray, topics: int, rounds: int = 50) -> np.ndarray:
+    """``topics`` centres of weighted candidates: each next start is the candidate of the largest weight times distance, then rounds
+    of k-means among the candidates."""
+    centres = candidates[:0]
+    while len(centres) < topics:
+        far = np.maximum(1 - np.round(candidates @ centres.T, 9).max(1, initial=0.0), 0)
+        if far.max() <= 1e-6:
+            break
+        centres = np.concatenate((centres, candidates[[int((far * weights).argmax())]]))
+    for _ in range(rounds):
+        nearest = np.round(candidates @ centres.T, 9).argmax(1)
+        moved = _moved((nearest[None, :] == np.arange(len(centres))[:, None]) * weights[None, :] @ candidates, centres)
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
 def fit_topics(
-    docs: DataFrame, *, topics: int = 12, width: int = 256, rounds: int = 25, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20
+    docs: DataFrame, *, topics: int = 12, width: int = 256, rounds: int = 25, passes: int = 4, least_gain: float = 1e-4, id_col: str = "doc_id",
+    text_col: str = "text", block_bytes: int = 4 << 20,
 ) -> np.ndarray:
     """Centres of word-count vectors by spherical k-means over all rows with a word, each row counted.
 
-    The vectors are written once. Starts are drawn among all rows, each next one by its distance from those before
-    (k-means++); the draws depend on ids and texts alone. In a round each task sums its vectors by their nearest centre,
-    which Spark adds up, so that only the sums reach the driver. Rounds end when no centre moves. Fewer distinct vectors
-    than ``topics`` give as many centres as there are; a table without words has one, of zeros.
+    The vectors are written once. Starts are found in a few ``passes`` over all rows (k-means||): each draws 4 * ``topics``
+    distinct rows by their distance from those drawn before; then every row is counted at the nearest one, and the driver reduces
+    these few weighted candidates to ``topics``. The draws depend on ids and texts alone. In a round each task sums its vectors by
+    their nearest centre, which Spark adds up, so that only the sums reach the driver. Rounds end when the mean cosine grows by
+    less than ``least_gain``. Fewer distinct vectors than ``topics`` give as many centres as there are; a table without words has
+    one, of zeros. A very long text is read in a block alone; other columns are not read.
     """
     h = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
     texts = docs.select(h.alias("h"), F.col(text_col).alias("text")).filter("text is not null")
     vectors = written(texts.mapInArrow(vector_batches(width, block_bytes), "h long, vector binary"), "vectors")
-    centres = np.zeros((0, width))
-    while len(centres) < topics:
-        drawn = vectors.mapInArrow(seed_batches(centres), "draw double, vector binary").orderBy(F.desc("draw"), F.desc("vector")).first()
-        if not drawn:
+    drawn = np.zeros((0, width))
+    for _ in range(passes):
+        seeds = vectors.mapInArrow(seed_batches(drawn, topics), "draw double, vector binary").distinct().orderBy(F.desc("draw"), F.desc("vector")).limit(4 * topics).collect()
+        if not seeds:
             break
-        row = np.frombuffer(drawn["vector"], "<i4").astype(np.float64)
-        centres = np.concatenate((centres, (row / np.linalg.norm(row))[None]))
-    if not len(centres):
+        new = np.unique(np.stack([np.frombuffer(r["vector"], "<i2") for r in seeds]), axis=0).astype(np.float64)
+        drawn = np.concatenate((drawn, new / np.linalg.norm(new, axis=1, keepdims=True)))
+    if not len(drawn):
         return np.zeros((1, width))
+    centres = _reduced(drawn, _round(vectors, drawn)[1].astype(np.float64), topics)
+    before = None
     for _ in range(rounds):
-        found = vectors.mapInArrow(sum_batches(centres), "topic long, cell long, total long").groupBy("topic", "cell").agg(F.sum("total").alias("total")).toArrow()
-        sums = np.zeros(centres.shape)
-        sums[found["topic"].to_numpy(), found["cell"].to_numpy()] = found["total"].to_numpy()
-        size = np.linalg.norm(sums, axis=1, keepdims=True)
-        moved = np.where(size > 0, sums / np.maximum(size, 1), centres)  # a centre without rows stays
-        if np.array_equal(moved, centres):
+        sums, counts, close = _round(vectors, centres)
+        centres = _moved(sums, centres)
+        if before is not None and close - before <= least_gain * 1e6 * counts.sum():
             break
-        centres = moved
+        before = close
     return centres
 
 
@@ -288,8 +339,8 @@ def mixed(
     drawn = _drawn(docs, centres, id_col, text_col, source_col, lang_col, power, part, seed, targets, block_bytes)
     named = drawn.withColumns(id_keys(F.col("doc_id"))).withColumnsRenamed({"key": "_key", "source": "_source", "lang": "_lang"})
     counts = written(named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.count_if("kept").alias("_kept")).filter("_kept > 0"), "drawn")
-    keyed = docs.withColumns(keys)
-    whole = keyed.join(counts.filter("_kept = _all"), list(keys), "left_semi").drop(*keys)
+    keyed = packed(docs, keys)
+    whole = keyed.join(counts.filter("_kept = _all"), list(keys), "left_semi")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_id"))
-    some = keyed.join(counts.filter("_kept < _all"), list(keys)).withColumn("_nth", nth).filter("_nth <= _kept").drop(*keys, "_all", "_kept", "_nth")
-    return whole.unionByName(some)
+    some = keyed.join(counts.filter("_kept < _all"), list(keys)).withColumn("nth", nth).filter("nth <= _kept")
+    return unpacked(whole.select("row").unionAll(some.select("row")))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.keys import id_keys, row_keys, text_key
+from ebbtide.llm.keys import id_keys, packed, row_keys, text_key, unpacked
 from ebbtide.llm.labelled import sample
 from ebbtide.llm.lines import measure, text_features
 from ebbtide.llm.text import blocks
@@ -137,4 +137,4 @@ def good_documents(
     keys = {**row_keys(id_col, text_col), **_site_keys(host, path)}
     kept = _judged(docs, weights, id_col, text_col, host, path, least, block_bytes).filter("kept")
     kept = kept.withColumns(id_keys(F.col("doc_id"))).select("_id", "_none", F.col("key").alias("_key"), F.col("host").alias("_host"), F.col("path").alias("_path"))
-    return docs.withColumns(keys).join(kept.distinct(), list(keys), "left_semi").drop(*keys)
+    return unpacked(packed(docs, keys).join(kept.distinct(), list(keys), "left_semi"))

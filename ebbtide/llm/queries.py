@@ -76,7 +76,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.without_repeated_lines(_table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.without_repeated_lines(_table(spark, sf_dir, "documents"), passages=True)
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -173,12 +173,17 @@ WITH docs AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
 parts AS (
   SELECT doc_id, UNNEST(STRING_SPLIT(text, chr(10))) AS line, UNNEST(RANGE(LEN(STRING_SPLIT(text, chr(10))))) AS place FROM docs),
 numbered AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY place) AS k FROM parts WHERE REGEXP_MATCHES(line, '[^\x20\x09-\x0D]')),
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY place) AS k, LEN(REGEXP_EXTRACT_ALL(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM parts WHERE REGEXP_MATCHES(line, '[^\x20\x09-\x0D]')),
 runs AS (
   SELECT doc_id, k, 3 AS n, LIST(line) OVER w AS content, COUNT(*) OVER w AS held FROM numbered
   WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)
   UNION ALL
-  SELECT doc_id, k, 1, [line], 3 FROM numbered WHERE LEN(REGEXP_EXTRACT_ALL(line, '[^\x20\x09-\x0D]+')) >= 50),
+  SELECT doc_id, k, 2, content, held + 1 FROM (
+    SELECT doc_id, k, LIST(line) OVER v AS content, COUNT(*) OVER v AS held, SUM(words) OVER v AS words FROM numbered
+    WINDOW v AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING)) WHERE words >= 50
+  UNION ALL
+  SELECT doc_id, k, 1, [line], 3 FROM numbered WHERE words >= 50),
 later AS (
   SELECT doc_id, k, n FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY n, content ORDER BY doc_id, k) AS nth FROM runs WHERE held = 3) WHERE nth > 1),
 gone AS (SELECT DISTINCT doc_id, UNNEST(RANGE(k, k + n)) AS k FROM later),

@@ -360,16 +360,16 @@ def test_shared_identifiers_are_drawn_again(odd, monkeypatch):
 
 
 # 9 ------------------------------------------------------------------------------------------------
-def without_lines(docs, span, long_line):
+def without_lines(docs, span, long_line, passages=False):
     order = sorted({d for d in docs}, key=lambda d: (d[0] is not None, d[0] or 0))
     seen, gone = set(), {}
     for i, t in order:
         lines = [(k, x) for k, x in enumerate(t.split("\n")) if WORD.search(x)]
         out = set()
         for s in range(len(lines)):
-            for n in (span, 1):
+            for n in range(1, span + 1) if passages else (span, 1):
                 part = lines[s : s + n]
-                if len(part) < n or (n == 1 and len(WORD.findall(part[0][1])) < long_line):
+                if len(part) < n or (n < span and sum(len(WORD.findall(x)) for _, x in part) < long_line):
                     continue
                 key = (n, tuple(x for _, x in part))
                 if key in seen:
@@ -387,6 +387,8 @@ def test_line_runs_equal_brute_force(spark, odd, given, none):
         docs = docs.filter("doc_id is not null")  # the order of rows without ids is that of hashes
         found = line_dedup.without_repeated_lines(docs, span=span, long_line=long_line)
         assert rows(found, "doc_id", "n_lines", "n_removed", "kept_text") == Counter(without_lines(texts_of(docs), span, long_line))
+        whole = line_dedup.without_repeated_lines(docs, span=span, long_line=long_line, passages=True)
+        assert rows(whole, "doc_id", "n_lines", "n_removed", "kept_text") == Counter(without_lines(texts_of(docs), span, long_line, True))
     assert line_dedup.without_repeated_lines(odd).count() == len(ROWS)
     assert line_dedup.without_repeated_lines(none).count() == 0
 
@@ -397,7 +399,13 @@ def test_short_passages_of_many_words_go(spark):
     docs = spark.createDataFrame([(k, t, "en", "a") for k, t in enumerate(texts)], SCHEMA)
     found = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in line_dedup.without_repeated_lines(docs, passages=True).collect()}
     assert found == {0: (0, texts[0]), 1: (2, ""), 2: (2, "own start\n\n "), 3: (0, texts[3]), 4: (0, texts[4])}
-    assert line_dedup.without_repeated_lines(docs).filter("n_removed > 0").isEmpty()  # the rules of the SQL
+    assert line_dedup.without_repeated_lines(docs).filter("n_removed > 0").isEmpty()
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # where the size of a missing array is -1
+    try:
+        lax = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in line_dedup.without_repeated_lines(docs, passages=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert lax == found
 
 
 # 10 -----------------------------------------------------------------------------------------------
@@ -451,7 +459,8 @@ def test_near_copies_equal_brute_force(spark, odd, given, none, options):
 
 
 def test_runs_follow_the_recall():
-    assert [chosen_path.runs_for(r, 0.8) for r in (0.5, 0.9, 0.9999)] == [1, 2, 7]
+    assert [chosen_path.runs_for(r, 0.8, 8) for r in (0.5, 0.9, 0.9999)] == [1, 2, 7]
+    assert chosen_path.runs_for(0.9, 0.8, 0) == 2  # a pair meets with 0.8 in a run that splits once
 
 
 def test_components_of_paths_and_stars(spark):
