@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.risk import event_delta
 from ebbtide.operators.ordered import _PART, _SLOT, range_count, range_numbered
 from ebbtide.operators.skew import spread_join
-from ebbtide.session import written
+from ebbtide.session import counted, written
 
 UNIT = 1_000_000_000
 _MAP = ["_d", "_lo", "_hi"]
@@ -97,9 +97,9 @@ def _scanned(events: DataFrame, order: list[str], parts: int | None) -> DataFram
             "_hi": F.lit(UNIT).cast("long"),
         }
     )
-    source = written(known, "events")
+    source, rows = counted(known, "events")
     keys = [F.col("customer_id"), *[F.col(c) for c in order]]
-    return written(_composed(range_numbered(source, keys, parts or range_count(source, source.count()))), "risk-scan")
+    return written(_composed(range_numbered(source, keys, parts or range_count(source, rows))), "risk-scan")
 
 
 def _slices(scanned: DataFrame) -> DataFrame:
@@ -154,8 +154,9 @@ def final_risk(
 
     Only the slice maps are brought together per customer, never the events.
     """
+    narrow = events.select(*dict.fromkeys(["customer_id", "event_type", *order]))
     whole = (
-        _slices(_scanned(events, order, parts))
+        _slices(_scanned(narrow, order, parts))
         .groupBy("customer_id")
         .agg(*[F.max_by(m, _PART).alias(m) for m in _MAP], F.sum("n").cast("long").alias("n_events"))
     )

@@ -4,7 +4,7 @@ A window without PARTITION BY moves every row to one task. Instead the rows are
 on the full sort key (so equal values of a hot key spread over tasks through the tie-break),
 numbered inside their range, and shifted by the small table of range sizes, at every size alike.
 
-The input is written once to the shared scratch folder before anything else: the count, the
+The input is written once to the shared scratch folder before anything else, and counted by the tasks that write it: the
 range sampling and the sort then read narrow written rows instead of recomputing their source.
 """
 
@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ebbtide.session import written
+from ebbtide.session import counted, written
 
 RANGE_ROWS = 10_000_000  # most rows per range
 _SLOT = "_slot"
 _PART = "_part"
+_ROW = "_row"
 _OFFSET_BITS = 33  # layout of monotonically_increasing_id
 
 
@@ -65,21 +66,20 @@ def _range_starts(sizes: DataFrame, totals: list[str], within: list[str]) -> Dat
 def with_ranks(df: DataFrame, ranks: dict[str, list[Column]], total: str | None = None) -> DataFrame:
     """1-based global row numbers, one per named order, and optionally the row count.
 
-    Every order must end in a unique tie-break.
+    Every order must end in a unique tie-break. Rows are written once with a number of their own; what is range-partitioned
+    and sorted for an order are that number and the order's columns, and the ranks come back by a join on the number.
     """
-    source = written(df, "ranked")
-    rows = source.count()
-    out = source.withColumn(total, F.lit(rows).cast("long")) if total else source
-    for name, order in ranks.items():
-        placed = range_sorted(out, order, range_count(out, rows))
+    source, rows = counted(df.withColumn(_ROW, F.monotonically_increasing_id()), "ranked")
+    out = source
+    for k, (name, order) in enumerate(ranks.items()):
+        placed = written(range_numbered(source, order, range_count(source, rows)).select(_ROW, _PART, _SLOT), "ordered")
         sizes = placed.groupBy(_PART).agg(F.count("*").alias("n"))
         starts = _range_starts(sizes, ["n"], [])  # one row per range: bounded by the partition count
-        out = (
-            placed.join(F.broadcast(starts), _PART)
-            .withColumn(name, F.col("_n_before") + F.col(_SLOT) + 1)
-            .drop(_PART, _SLOT, "_n_before", "n_all")
-        )
-    return out
+        number = (F.col("_n_before") + F.col(_SLOT) + 1).alias(name)
+        whole = [F.col("n_all").alias(total)] if total and not k else []
+        out = out.join(placed.join(F.broadcast(starts), _PART).select(_ROW, number, *whole), _ROW)
+    kept = [*df.columns, *([total] if total else []), *ranks]
+    return out.select(*(F.col(f"`{c}`") for c in kept))
 
 
 def with_rank(df: DataFrame, order: list[Column], name: str = "rank", total: str | None = None) -> DataFrame:
@@ -117,8 +117,7 @@ def with_running_totals(
     """
     within = list(within)
     if rows is None:
-        df = written(df, "running")
-        rows = df.count()
+        df, rows = counted(df, "running")
     amounts = df.withColumns({f"_x_{t}": c for t, c in totals.items()})
     placed = range_sorted(amounts, [*[F.col(c) for c in within], *order], range_count(df, rows))
     sizes = placed.groupBy(*within, _PART).agg(*[F.sum(f"_x_{t}").alias(t) for t in totals])
@@ -143,12 +142,13 @@ def exact_quantiles(
     """
     if weight is None:
         known = df.filter(F.col(value).isNotNull())
-        counts = written(known.groupBy(*group, value).agg(F.count("*").alias("_n")), "quantiles")
+        counts, rows = counted(known.groupBy(*group, value).agg(F.count("*").alias("_n")), "quantiles")
     else:
         counts = df.filter(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
             *group, value, F.col(weight).alias("_n")
         )
-    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, group, counts.count())
+        rows = counts.count()
+    running = with_running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, group, rows)
     asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     # A row answers a position when its run of equal values covers floor or ceil of it.
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1

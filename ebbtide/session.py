@@ -8,7 +8,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}  # applications whose workers have the package
 _LOCAL_ROOTS: dict[str, str] = {}  # scratch roots of local sessions that name none
@@ -89,6 +90,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`written`, and the number of rows as the writing tasks saw it: for sizing, as a task that is run again may count
+    twice."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return table, int(seen.get["rows"])
+
+
 def release_scratch(spark: SparkSession) -> bool:
     """Delete what this application wrote below the scratch root; frames that still read it fail."""
     jvm = spark.sparkContext._jvm
