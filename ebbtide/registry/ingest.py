@@ -108,6 +108,19 @@ def _(x):
     return topics.read_topic(x.spark, topic_of(x), topics.EVENT, 300).select("offset", "customer_id", "event_type", "value")
 
 
+@query("m14_committed_reader", _TOPIC + 'SELECT * FROM topic')
+def _(x):
+    """A reader that takes runs of offsets, commits each, and goes on in a second call; runs are folders named by their first offset."""
+    path, out = topic_of(x), scratch_path(x.spark, "read")
+
+    def handle(messages, first, end):
+        messages.write.mode("overwrite").parquet(f"{out}/first={first}")
+
+    for _ in range(2):
+        topics.process_new(x.spark, path, topics.EVENT, "scores", handle, most=4000)
+    return x.spark.read.parquet(f"{out}/*").select("offset", "customer_id", "event_type", "value")
+
+
 @query("a11_topic_count", "SELECT COUNT(*) AS n FROM ev")
 def _(x):
     return topics.topic_count(x.spark, topic_of(x))
