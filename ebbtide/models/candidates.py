@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
 import time
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
@@ -56,39 +58,56 @@ def score(model: PipelineModel, featured: DataFrame) -> DataFrame:
     return with_probability(model.transform(featured)).select(*featured.columns, "churn_probability")
 
 
-def train_and_evaluate(
+@dataclass
+class Fitted:
+    """Fitted candidates by name: whole pipelines, and the models alone with the vectors they read and their seconds."""
+
+    pipelines: dict[str, PipelineModel]
+    models: dict[str, Transformer]
+    vectors: DataFrame
+    seconds: dict[str, float]
+
+
+def fit_candidates(
     parts: DataFrame, names: list[str] | None = None, numeric: list[str] = FEATURED_NUMERIC,
     categorical: list[str] = CATEGORICAL, balanced: bool = False, cfg: Settings = DEFAULTS,
-) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit every candidate on the train rows of one split; metrics on the validation rows.
-
-    ``parts`` has a ``split`` column. Returns (metrics with train_time_s, fitted pipelines). The
-    feature vectors are written once and read by every model; the metrics of all models come
-    from one pass.
-    """
-    train = parts.filter("split = 'train'")
-    prep = fit_preparation(train, numeric, categorical)
+) -> Fitted:
+    """Fit every candidate on the train rows of ``parts`` (with a ``split`` column). The feature vectors are written once
+    and read by every model."""
+    prep = fit_preparation(parts.filter("split = 'train'"), numeric, categorical)
     vectors = written(prepared(prep, parts.select(ID, "split", *numeric, *categorical, LABEL)).select(ID, "split", LABEL, FEATURES), "vectors")
     fit_rows = vectors.filter("split = 'train'")
     facts = fit_rows.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
     if balanced:
         fit_rows = with_balance_weight(fit_rows)
     fit_rows = sized(fit_rows, cfg)
-    pipelines, times, scored = {}, [], None
+    fitted = Fitted({}, {}, vectors, {})
     for name, estimator in candidates(facts["n"], facts["w"], cfg, balanced).items():
         if names and name not in names:
             continue
         begun = time.perf_counter()
-        fitted = estimator.fit(fit_rows)
-        times.append((name, round(time.perf_counter() - begun, 3)))
-        pipelines[name] = PipelineModel([*prep.stages, fitted])
-        rows = with_probability(fitted.transform(vectors.filter("split = 'val'"))).select(
-            F.lit(name).alias("model"), LABEL, "churn_probability"
-        )
-        scored = rows if scored is None else scored.unionByName(rows)
-    spent = parts.sparkSession.createDataFrame(times, "model string, train_time_s double")
-    metrics = classification_metrics(written(scored, "validation"), "churn_probability", LABEL, by=["model"])
-    return metrics.join(spent, "model"), pipelines
+        fitted.models[name] = estimator.fit(fit_rows)
+        fitted.seconds[name] = round(time.perf_counter() - begun, 3)
+        fitted.pipelines[name] = PipelineModel([*prep.stages, fitted.models[name]])
+    return fitted
+
+
+def train_and_evaluate(
+    parts: DataFrame, names: list[str] | None = None, numeric: list[str] = FEATURED_NUMERIC,
+    categorical: list[str] = CATEGORICAL, balanced: bool = False, cfg: Settings = DEFAULTS,
+) -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Fit every candidate on the train rows of one split; metrics on the validation rows.
+
+    Returns (metrics with train_time_s, fitted pipelines). The metrics of all models come from one pass.
+    """
+    fitted = fit_candidates(parts, names, numeric, categorical, balanced, cfg)
+    val = fitted.vectors.filter("split = 'val'")
+    scored = [
+        with_probability(model.transform(val)).select(F.lit(name).alias("model"), LABEL, "churn_probability") for name, model in fitted.models.items()
+    ]
+    spent = parts.sparkSession.createDataFrame(list(fitted.seconds.items()), "model string, train_time_s double")
+    metrics = classification_metrics(written(functools.reduce(DataFrame.unionByName, scored), "validation"), "churn_probability", LABEL, by=["model"])
+    return metrics.join(spent, "model"), fitted.pipelines
 
 
 # --- random search ----------------------------------------------------------------------------------

@@ -88,6 +88,12 @@ def feature_names(model: PipelineModel, numeric: list[str], categorical: list[st
     return [*numeric, *[f"{c}_{v}" for c, values in zip(categorical, labels) for v in values]]
 
 
+def slot_columns(model: PipelineModel, numeric: list[str], categorical: list[str]) -> list[str]:
+    """The column that each vector slot comes from, in order."""
+    labels = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel").labelsArray
+    return [*numeric, *[c for c, values in zip(categorical, labels) for _ in values]]
+
+
 def prepared(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The rows with the feature vector, without the helper columns."""
     out = model.transform(df)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded
-from ebbtide.models import calibrate, segment
+from ebbtide.models import calibrate, explain, segment
 from ebbtide.models import candidates as models
-from ebbtide.models.prepare import FEATURES, feature_names, fit_preparation, prepared
+from ebbtide.models.prepare import FEATURES, feature_names, fit_preparation, prepared, slot_columns
 from ebbtide.operators import attribution, metrics, segments, split
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.plans import warehouse
 from ebbtide.plans.scoring import find_customers
 from ebbtide.registry.base import also, money, query
 from ebbtide.registry.drift import _SPLIT
+from ebbtide.session import written
 from ebbtide.sources.projection import SCORECARD, SCORECARD_INTERCEPT, scorecard_signals
 from ebbtide.vocab import CATEGORICAL, NUMERIC
 
@@ -95,7 +97,9 @@ def _(x):
 
 @query("o07_balanced_training")
 def _(x):
-    return models.train_and_evaluate(parts_of(x), ["logistic_regression", "decision_tree"], balanced=True)[0]
+    """All learners that take row weights."""
+    names = ["logistic_regression", "decision_tree", "random_forest", "gradient_boosting"]
+    return models.train_and_evaluate(parts_of(x), names, balanced=True)[0]
 
 
 @query("o08_random_search")
@@ -232,8 +236,8 @@ def _(x):
 @query("o19_batch_scoring")
 def _(x):
     parts = parts_of(x)
-    _table, fitted = models.train_and_evaluate(parts, ["logistic_regression"])
-    return models.score(fitted["logistic_regression"], x.featured).select("customerID", rounded(P, 4).alias(P))
+    fitted = models.fit_candidates(parts, ["logistic_regression"])
+    return models.score(fitted.pipelines["logistic_regression"], x.featured).select("customerID", rounded(P, 4).alias(P))
 
 
 # --- segments -------------------------------------------------------------------------------------------
@@ -283,6 +287,37 @@ def _(x):
     return rows.agg(F.count("*").alias("n"), F.count_if(F.abs(parts - scorecard_logit()) < 1e-9).alias("n_additive"))
 
 
+def boosted(x):
+    """A boosted model of 40 rounds, all customers' vectors, and the feature that each slot belongs to."""
+    parts = parts_of(x)
+    prep = fit_preparation(parts.filter("split = 'train'"), FEATURED_NUMERIC, CATEGORICAL)
+    vectors = written(prepared(prep, parts.select("customerID", "split", *FEATURED_NUMERIC, *CATEGORICAL, Y)).select("customerID", "split", Y, FEATURES), "boosted")
+    learner = models.candidates(1, 2)["gradient_boosting"]
+    model = learner.copy({learner.maxIter: 40}).fit(models.sized(vectors.filter("split = 'train'")))
+    return model, vectors, slot_columns(prep, FEATURED_NUMERIC, CATEGORICAL)
+
+
+@query("s01_tree_additivity", "SELECT COUNT(*) AS n, COUNT(*) AS n_additive FROM scored")
+def _(x):
+    """Base plus contributions equals half the log odds of every row of a boosted model."""
+    model, vectors, slots = boosted(x)
+    rows = explain.with_tree_contributions(model.transform(vectors).withColumn("p", vector_to_array("probability")[1]), model, slots, ["customerID", "p"])
+    parts = F.aggregate("contributions", F.col("base"), lambda a, e: a + e["contribution"])
+    return rows.agg(F.count("*").alias("n"), F.count_if(F.abs(parts - F.ln(F.col("p") / (1 - F.col("p"))) / 2) < 1e-9).alias("n_additive"))
+
+
+@query("s02_tree_importance")
+def _(x):
+    model, vectors, slots = boosted(x)
+    return attribution.global_importance(explain.with_tree_contributions(vectors, model, slots, ["customerID"]))
+
+
+@query("s03_tree_factors")
+def _(x):
+    model, vectors, slots = boosted(x)
+    return attribution.factor_table(attribution.with_top_factors(explain.with_tree_contributions(vectors, model, slots, ["customerID"]), 5))
+
+
 @query(
     "s02_global_importance",
     _PARTS + f"""SELECT feature, CAST(ROUND(CAST(CAST(SUM(CAST(ABS(v) AS DECIMAL(18,6))) AS DOUBLE) / COUNT(*) AS DECIMAL(18,6)), 5) AS DOUBLE) AS mean_abs_contribution
