@@ -68,7 +68,8 @@ def repeated_windows(docs: DataFrame, span: int, long_line: int, passages: bool)
     found = written(windows(docs, span, long_line, passages), "line-windows")
     places = found.select("doc_id", "key", "mark", "at").distinct()
     marks = places.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    candidates = written(found.join(written(marks, "line-marks"), "mark", "left_semi"), "line-matches")
+    marks = written(marks, "line-marks").hint("merge")  # as many as the corpus has repeated lines: one plan at every size
+    candidates = written(found.join(marks, "mark", "left_semi"), "line-matches")
     here = F.struct("doc_id", "key", "start")
     first = candidates.groupBy("n", "a", "b").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     matched = candidates.join(written(first.select("n", "a", "b", "first"), "line-firsts"), ["n", "a", "b"])
