@@ -8,8 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}  # applications whose workers have the package
 _LOCAL_ROOTS: dict[str, str] = {}  # scratch roots of local sessions that name none
@@ -91,11 +90,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """:func:`written`, and the number of rows as the writing tasks saw it: for sizing, as a task that is run again may count
-    twice."""
-    seen = Observation()
-    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
-    return table, int(seen.get["rows"])
+    """:func:`written`, and the number of rows from the written footers. An observation would count them during the write, but
+    after one Spark 4.1 can no longer ship logistic models to its tasks (see :func:`ebbtide.sources.tables.load_table`)."""
+    table = written(df, name)
+    return table, table.count()
 
 
 def release_scratch(spark: SparkSession) -> bool:
