@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +42,7 @@ def calibration_variants(
         with_folds(prepared(prep, parts.select(*columns)).select(ID, "split", LABEL, FEATURES), folds), "calibration"
     )
     train, val = vectors.filter("split = 'train'"), vectors.filter("split = 'val'")
-    facts = train.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
-    estimator = candidates(facts["n"], facts["w"], cfg)[base]
+    estimator = candidates(train.count(), cfg)[base]
     train = sized(train, cfg)
 
     def scored(model, df: DataFrame, name: str) -> DataFrame:

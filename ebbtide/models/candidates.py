@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
+    DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, Settings
+from ebbtide.models.perceptron import Perceptron
 from ebbtide.models.prepare import FEATURES, LABEL, fit_preparation, prepared, preparation_stages, with_balance_weight
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.operators.metrics import classification_metrics
@@ -26,9 +27,9 @@ from ebbtide.session import written
 from ebbtide.vocab import CATEGORICAL, ID
 
 
-def candidates(rows: int, width: int, cfg: Settings = DEFAULTS, balanced: bool = False) -> dict:
+def candidates(rows: int, cfg: Settings = DEFAULTS, balanced: bool = False) -> dict:
     """Name to unfitted estimator. One distributed boosted-tree learner stands for the three
-    single-node boosting libraries; the perceptron takes no row weights."""
+    single-node boosting libraries."""
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     weighted = {**common, "weightCol": "balance_weight"} if balanced else common
     return {
@@ -39,7 +40,7 @@ def candidates(rows: int, width: int, cfg: Settings = DEFAULTS, balanced: bool =
             numTrees=300, maxDepth=10, minInstancesPerNode=5, seed=cfg.seed, **weighted
         ),
         "gradient_boosting": GBTClassifier(maxIter=300, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=cfg.seed, **weighted),
-        "neural_network": MultilayerPerceptronClassifier(layers=[width, 64, 32, 2], maxIter=300, seed=cfg.seed, **common),
+        "neural_network": Perceptron(hidden=[64, 32], maxIter=300, seed=cfg.seed, **weighted),
     }
 
 
@@ -77,12 +78,12 @@ def fit_candidates(
     prep = fit_preparation(parts.filter("split = 'train'"), numeric, categorical)
     vectors = written(prepared(prep, parts.select(ID, "split", *numeric, *categorical, LABEL)).select(ID, "split", LABEL, FEATURES), "vectors")
     fit_rows = vectors.filter("split = 'train'")
-    facts = fit_rows.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(FEATURES))).alias("w")).first()
+    rows = fit_rows.count()
     if balanced:
         fit_rows = with_balance_weight(fit_rows)
     fit_rows = sized(fit_rows, cfg)
     fitted = Fitted({}, {}, vectors, {})
-    for name, estimator in candidates(facts["n"], facts["w"], cfg, balanced).items():
+    for name, estimator in candidates(rows, cfg, balanced).items():
         if names and name not in names:
             continue
         begun = time.perf_counter()
@@ -144,7 +145,7 @@ def tune(
     train = written(with_folds(train.withColumn("even_weight", F.lit(1.0)), folds), "tuning")
     rows = train.count()
     train = sized(train, cfg)
-    estimator = candidates(rows, 2, cfg)[name]
+    estimator = candidates(rows, cfg)[name]
     grid = []
     for point in draws(name, n_iter, cfg.seed):
         settings = {estimator.weightCol: "balance_weight" if point.get("class_weight") == "balanced" else "even_weight"}

@@ -9,7 +9,7 @@ from ebbtide.operators import metrics
 from ebbtide.plans import load, medallion, warehouse
 from ebbtide.registry.base import money, query
 from ebbtide.session import scratch_path
-from ebbtide.sources import files, tables, topics
+from ebbtide.sources import arrays, files, tables, topics
 from ebbtide.vocab import PACKED_SERVICES
 
 
@@ -58,6 +58,21 @@ def _(x):
     return files.read_json_array(x.spark, path, "customer_id string, item string, value string", whole_file=False)
 
 
+@query(
+    "a04_json_array_files",
+    """SELECT customerID AS customer_id, Contract || ' "}] {[' AS note, tenure AS months, Contract AS contract, PaymentMethod AS payment FROM raw""",
+)
+def _(x):
+    """Files of one array each, with nested objects and strings that hold braces, brackets and quotes, read by byte ranges."""
+    path = scratch_path(x.spark, "arrays")
+    note = F.concat("Contract", F.lit(' "}] {[')).alias("note")
+    terms = F.array(F.struct(F.col("Contract").alias("contract")), F.struct(F.col("PaymentMethod").alias("contract"))).alias("terms")
+    arrays.write_array_files(x.raw.select(F.col("customerID").alias("customer_id"), note, F.struct(F.col("tenure").alias("months"), terms).alias("held")), path)
+    rows = arrays.read_array_files(x.spark, path, "customer_id string, note string, held struct<months: int, terms: array<struct<contract: string>>>")
+    terms = F.col("held.terms.contract")
+    return rows.select("customer_id", "note", "held.months", terms[0].alias("contract"), terms[1].alias("payment"))
+
+
 @query("a05_parquet", "SELECT event_id, customer_id, event_type, timestamp, value FROM ev")
 def _(x):
     path = scratch_path(x.spark, "parquet")

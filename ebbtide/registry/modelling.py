@@ -97,9 +97,7 @@ def _(x):
 
 @query("o07_balanced_training")
 def _(x):
-    """All learners that take row weights."""
-    names = ["logistic_regression", "decision_tree", "random_forest", "gradient_boosting"]
-    return models.train_and_evaluate(parts_of(x), names, balanced=True)[0]
+    return models.train_and_evaluate(parts_of(x), balanced=True)[0]
 
 
 @query("o08_random_search")
@@ -292,7 +290,7 @@ def boosted(x):
     parts = parts_of(x)
     prep = fit_preparation(parts.filter("split = 'train'"), FEATURED_NUMERIC, CATEGORICAL)
     vectors = written(prepared(prep, parts.select("customerID", "split", *FEATURED_NUMERIC, *CATEGORICAL, Y)).select("customerID", "split", Y, FEATURES), "boosted")
-    learner = models.candidates(1, 2)["gradient_boosting"]
+    learner = models.candidates(1)["gradient_boosting"]
     model = learner.copy({learner.maxIter: 40}).fit(models.sized(vectors.filter("split = 'train'")))
     return model, vectors, slot_columns(prep, FEATURED_NUMERIC, CATEGORICAL)
 

@@ -1,9 +1,12 @@
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ebbtide.models import calibrate, candidates, segment
+from ebbtide.models import calibrate, candidates, perceptron, segment
+from ebbtide.models.perceptron import Perceptron, PerceptronModel
 from ebbtide.models.prepare import feature_names, fit_preparation, prepared
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.operators.split import split_by_hash
@@ -52,9 +55,10 @@ def test_training_scoring_and_saving(parts, tmp_path):
 
 
 def test_models_can_be_shipped_after_a_load(spark, parts, tmp_path):
+    from ebbtide.session import counted
     from ebbtide.sources.tables import load_table
 
-    assert load_table(spark.range(3), str(tmp_path / "t")) == 3
+    assert load_table(spark.range(3), str(tmp_path / "t")) == 3 and counted(spark.range(3), "t")[1] == 3
     table, _ = candidates.train_and_evaluate(parts, ["logistic_regression"])
     assert table.count() == 1
 
@@ -86,6 +90,82 @@ def test_segments(inputs):
     assert segment.pca_2d(vectors).select("pc1", "pc2").count() == 150
 
 
+def test_many_clusterings_in_one_pass(inputs):
+    """All fits together equal single ones, Spark's own evaluator and plain K-means."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    vectors = segment.segment_vectors(inputs.scored)
+    starts = segment.starting_centres(vectors, [2, 4], 2, 7)
+    together = segment.fit_together(vectors, starts)
+    x = np.array([r[0] for r in vectors.select(vector_to_array("segment_vector")).collect()])
+    for begun, fit in zip(starts, together):
+        c = begun.copy()
+        for _ in range(20):
+            near = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+            c = np.array([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(len(c))])
+        cost = ((x[:, None] - c) ** 2).sum(2).min(1).sum()
+        assert fit.cost == pytest.approx(cost, rel=1e-4) and fit.sizes.sum() == len(x)
+    assert segment.fit_together(vectors, starts[:1])[0].cost == pytest.approx(together[0].cost, rel=1e-9)
+    table = segment.choose_k(vectors, [3], starts=2, seed=1).first()
+    rows = vectors.join(segment.fit_segments(vectors, 3, starts=2, seed=1).select("customerID", "cluster"), "customerID")
+    theirs = ClusteringEvaluator(featuresCol="segment_vector", predictionCol="cluster").evaluate(rows)
+    assert table["silhouette"] == pytest.approx(theirs, abs=1e-4)
+
+
+def _ring(spark, n=1200):
+    """Label 1 within a ring: no line parts the labels."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 2))
+    rows = [(Vectors.dense(p), float(p @ p < 1.2), 1.0) for p in x]
+    return spark.createDataFrame(rows, ["features", "label", "weight"]).repartition(3).cache()
+
+
+def test_perceptron_learns_stops_and_is_saved(spark, tmp_path):
+    rows = _ring(spark)
+    model = Perceptron(hidden=[16], stepSize=0.03, batch=40, maxIter=60, patience=3, tol=0.005).fit(rows)
+    assert model.getOrDefault(model.passes) < 60 and model.getOrDefault(model.heldOutLoss) < 0.3
+    out = model.transform(rows)
+    assert out.filter("prediction = label").count() > 1080
+    model.write().overwrite().save(str(tmp_path / "p"))
+    again = PerceptronModel.load(str(tmp_path / "p")).transform(rows)
+    assert out.select("probability").exceptAll(again.select("probability")).count() == 0
+    assert model.transform(rows.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        Perceptron().fit(rows.limit(0))
+
+
+def test_perceptron_gradient_penalty_and_weights(spark):
+    """The gradient by differences; rows of weight 0 change nothing; the penalty makes weights smaller."""
+    rng = np.random.default_rng(1)
+    sizes, x, y, w = [3, 4, 2, 1], rng.normal(size=(9, 3)), rng.integers(0, 2, 9).astype(float), rng.uniform(0.5, 2, 9)
+    flat = perceptron.first_state(sizes, 2)
+
+    def objective(f):
+        layers = perceptron.layers_of(f, sizes)
+        squares = sum((a * a).sum() for a, _ in layers)
+        return (perceptron.row_losses(perceptron.activations(x, layers)[-1][:, 0], y) * w).sum() / w.sum() + 0.15 * squares / w.sum()
+
+    exact = perceptron.gradient(flat, sizes, x, y, w, 0.3)
+    steps = np.eye(len(flat)) * 1e-6
+    assert np.allclose(exact, [(objective(flat + s) - objective(flat - s)) / 2e-6 for s in steps], atol=1e-6)
+
+    rows = _ring(spark, 400).coalesce(1)
+    wrong = rows.withColumns({"label": 1 - F.col("label"), "weight": F.lit(0.0)})
+    learner = Perceptron(hidden=[8], weightCol="weight", stepSize=0.03, batch=40, maxIter=25, patience=99)
+    a = learner.fit(rows.unionByName(wrong).coalesce(1))
+    right = a.transform(rows).filter("prediction = label").count()
+    assert right > 280
+    small = Perceptron(hidden=[8], stepSize=0.02, batch=100, maxIter=15, penalty=200.0).fit(rows)
+    norm = lambda m: np.abs(m.getOrDefault(m.weights)).sum()
+    assert norm(small) < norm(a) / 2
+
+
+def test_all_learners_train_balanced(parts):
+    table, _ = candidates.train_and_evaluate(parts, ["neural_network", "decision_tree"], balanced=True)
+    rows = {r["model"]: r for r in table.collect()}
+    assert rows["neural_network"]["roc_auc"] > 0.75 and set(rows) == {"neural_network", "decision_tree"}
+
+
 def test_registry_version(spark):
     registry = spark.createDataFrame([("m", 1), ("m", 4), ("other", 9)], "model_name string, version int")
     assert calibrate.next_version(registry, "m").first()["version"] == 5

@@ -51,6 +51,47 @@ def test_json_array_file(spark, tmp_path):
     assert sorted(r["k"] for r in files.read_json_array(spark, str(tmp_path / "a.json"), "k int").collect()) == [1, 2]
 
 
+def test_json_array_file_by_ranges(spark, tmp_path):
+    """One file over many byte ranges equals the read in one task, wherever the ranges cut."""
+    import json
+    import random
+
+    from ebbtide.sources.arrays import read_array_files
+
+    rng = random.Random(5)
+    signs = ["{", "}", "[", "]", '"', "\\", ",", ":", "é", "x", "\n", "\\\"}"]
+    rows = [
+        {"k": i, "s": "".join(rng.choices(signs, k=rng.choice([0, 3, 40, 300]))), "in": {"a": [{"b": j} for j in range(rng.randrange(4))]}}
+        for i in range(24)
+    ]
+    schema = "k int, s string, in struct<a: array<struct<b: int>>>"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for n, indent in enumerate((None, 2)):
+            file = tmp_path / f"{n}.json"
+            file.write_text(json.dumps(rows, indent=indent, ensure_ascii=False), encoding="utf-8")
+            for size in (211, 1 << 20):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+                found = read_array_files(spark, str(file), schema).collect()
+                assert sorted((r.asDict(True) for r in found), key=lambda r: r["k"]) == rows, (indent, size)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_json_array_files_at_their_limits(spark, tmp_path):
+    """Empty files and arrays, elements that are no objects, a record of another shape, a file that ends early."""
+    from ebbtide.sources.arrays import read_array_files, write_array_files
+
+    texts = {"none": "", "empty": "[]\n", "blank": " [ ] ", "mixed": '[1, {"k": 1}, null, {"k": {"z": 1}}, {}]', "cut": '[{"k": 7}, {"k": "a'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = {n: sorted((r["k"] for r in read_array_files(spark, str(tmp_path / f"{n}.json"), "k int").collect()), key=str) for n in texts}
+    assert found == {"none": [], "empty": [], "blank": [], "mixed": [1, None, None], "cut": [7]}
+    for n in (0, 3):
+        write_array_files(spark.range(n).withColumnRenamed("id", "k"), str(tmp_path / f"out{n}"))
+        assert read_array_files(spark, str(tmp_path / f"out{n}"), "k int").count() == n
+
+
 def test_read_or_build_builds_once(spark, tmp_path):
     calls = []
 
