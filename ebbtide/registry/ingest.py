@@ -10,6 +10,7 @@ from ebbtide.plans import load, medallion, warehouse
 from ebbtide.registry.base import money, query
 from ebbtide.session import scratch_path
 from ebbtide.sources import arrays, files, tables, topics
+from ebbtide.streaming import events as ev
 from ebbtide.vocab import PACKED_SERVICES
 
 
@@ -136,6 +137,15 @@ def _(x):
     return x.spark.read.parquet(f"{out}/*").select("offset", "customer_id", "event_type", "value")
 
 
+@query("m15_stream_from_offset", _TOPIC + 'SELECT * FROM topic WHERE "offset" >= 300')
+def _(x):
+    """A stream that starts at an offset, and its restart, which finds nothing new."""
+    path, out, checkpoint = topic_of(x), scratch_path(x.spark, "streamed"), scratch_path(x.spark, "stream-checkpoint")
+    for _ in range(2):
+        done = ev.run_available(topics.stream_from(x.spark, path, topics.EVENT, 300), out, checkpoint, x.spark)
+    return done.select("offset", "customer_id", "event_type", "value")
+
+
 @query("a11_topic_count", "SELECT COUNT(*) AS n FROM ev")
 def _(x):
     return topics.topic_count(x.spark, topic_of(x))

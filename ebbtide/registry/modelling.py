@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded
-from ebbtide.models import calibrate, explain, segment
+from ebbtide.models import calibrate, explain, search, segment
 from ebbtide.models import candidates as models
 from ebbtide.models.prepare import FEATURES, feature_names, fit_preparation, prepared, slot_columns
 from ebbtide.operators import attribution, metrics, segments, split
@@ -102,7 +102,7 @@ def _(x):
 
 @query("o08_random_search")
 def _(x):
-    found, _model = models.tune(parts_of(x), "logistic_regression", n_iter=15)
+    found, _model = search.search_logistic(parts_of(x), n_iter=15)
     row = [(found["model"], found["cv_best_score"], str(found["best_params"]), found["tune_time_s"])]
     return x.spark.createDataFrame(row, "model string, cv_best_score double, best_params string, tune_time_s double")
 

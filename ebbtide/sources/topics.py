@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ebbtide.sources.commits import created, jvm_path
+from ebbtide.sources.topic_stream import TopicSource
+
 EVENT = "customer_id string, event_type string, timestamp string, value double, is_simulated boolean"
 #: Hidden from readers of the topic by its first letter.
 INDEX = "_offsets"
@@ -53,34 +56,35 @@ def purge(spark: SparkSession, path: str) -> None:
 
 
 def _text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).text(paths)
+    return spark.read.options(recursiveFileLookup=True, lineSep="\n").text(paths)
+
+
+def _filled() -> Column:
+    return F.col("value").rlike(r"\S")
 
 
 # --- offset index: a row per delivered file with its first offset and its numbers of lines ---------------
 @dataclass(frozen=True)
 class Delivered:
-    """One file of a topic. Lines ``first`` to ``first + n - 1`` are in it, ``filled`` of them not blank."""
+    """One file of a topic. Lines ``first`` to ``first + n - 1`` are in it, ``filled`` of them not blank; ``blocks`` holds the
+    first byte and the number of lines of each range in which the file was counted."""
 
     file: str
     first: int
     n: int
     filled: int
-
-
-def _jvm_path(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    blocks: list[list[int]]
 
 
 def _indexed(spark: SparkSession, path: str) -> tuple[list[Delivered], int]:
     """Indexed files in order of their offsets, and how many index entries there are."""
-    folder, system = _jvm_path(spark, f"{path}/{INDEX}")
+    folder, system = jvm_path(spark, f"{path}/{INDEX}")
     if not system.exists(folder):
         return [], 0
     names = sorted(str(x.getPath()) for x in system.listStatus(folder) if x.getPath().getName().isdigit())
     if not names:
         return [], 0
-    rows = spark.read.schema("file string, first long, n long, filled long").json(names).orderBy("first", "file").collect()
+    rows = spark.read.schema("file string, first long, n long, filled long, blocks array<array<long>>").json(names).orderBy("first", "file").collect()
     return [Delivered(*r) for r in rows], len(names)
 
 
@@ -97,33 +101,23 @@ def offset_index(spark: SparkSession, path: str) -> list[Delivered]:
         fresh = sorted(f for f in _text(spark, path).inputFiles() if f not in seen)
         if not fresh:
             return known
-        counts = _text(spark, [unquote(f) for f in fresh]).groupBy(F.input_file_name().alias("file")).agg(
-            F.count("*").alias("n"), F.count_if(F.trim("value") != "").alias("filled")
+        counts = (
+            _text(spark, [unquote(f) for f in fresh])
+            .groupBy(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("start"))
+            .agg(F.count("*").alias("n"), F.count_if(_filled()).alias("filled"))
         )
-        found = {r["file"]: (r["n"], r["filled"]) for r in counts.collect()}
+        found = defaultdict(list)
+        for r in counts.collect():  # a row for each block of a new file, as its scan has
+            found[r["file"]].append((r["start"], r["n"], r["filled"]))
         first, added = known[-1].first + known[-1].n if known else 0, []
         for file in fresh:
-            n, filled = found.get(file, (0, 0))
-            added.append(Delivered(file, first, n, filled))
-            first += n
-        if _created(spark, f"{path}/{INDEX}/{entries:012d}", "\n".join(json.dumps(asdict(d)) for d in added)):
+            blocks = sorted(found[file])
+            added.append(Delivered(file, first, sum(b[1] for b in blocks), sum(b[2] for b in blocks), [list(b[:2]) for b in blocks]))
+            first += added[-1].n
+        if created(spark, f"{path}/{INDEX}/{entries:012d}", "\n".join(json.dumps(asdict(d)) for d in added)):
             return known + added
 
 
-def _created(spark: SparkSession, path: str, text: str) -> bool:
-    """Whether the file was created; False if another writer was first."""
-    place, system = _jvm_path(spark, path)
-    try:
-        out = system.create(place, False)
-    except Py4JJavaError as error:
-        if system.exists(place):
-            return False
-        raise error
-    out.write(bytearray(text.encode()))
-    out.close()
-    return True
-
-
 def _lines(spark: SparkSession, files: list[Delivered]) -> DataFrame:
     """Lines of these files with their offsets. A file's blocks are counted first, then lines are placed within their block."""
     if not files:
@@ -148,7 +142,7 @@ def read_topic(spark: SparkSession, path: str, fields: str, from_offset: int = 0
 
 def _messages_of(lines: DataFrame, fields: str) -> DataFrame:
     wrapped, bare = F.from_json("value", envelope(fields)), F.from_json("value", fields)
-    return lines.filter(F.trim("value") != "").select(
+    return lines.filter(_filled()).select(
         "offset", wrapped["key"].alias("key"), F.coalesce(wrapped["value"], bare).alias("v")
     ).select("offset", "key", "v.*")
 
@@ -171,7 +165,7 @@ def latest(spark: SparkSession, path: str, fields: str, n: int = 20) -> DataFram
 
 def committed_offset(spark: SparkSession, path: str, reader: str) -> int:
     """The offset up to which ``reader`` has committed, 0 for a new one."""
-    folder, system = _jvm_path(spark, f"{path}/{INDEX}/{reader}")
+    folder, system = jvm_path(spark, f"{path}/{INDEX}/{reader}")
     return max((int(x.getPath().getName()) for x in system.listStatus(folder)), default=0) if system.exists(folder) else 0
 
 
@@ -191,7 +185,7 @@ def process_new(
             return first
         end = next((d.first + d.n for d in ahead if d.first + d.n - first >= most), ahead[-1].first + ahead[-1].n)
         handle(read_topic(spark, path, fields, first, end), first, end)
-        _created(spark, f"{path}/{INDEX}/{reader}/{end:020d}", "")
+        created(spark, f"{path}/{INDEX}/{reader}/{end:020d}", "")
 
 
 def stream_topic(spark: SparkSession, path: str, fields: str, files_per_trigger: int = 100) -> DataFrame:
@@ -204,6 +198,16 @@ def stream_topic(spark: SparkSession, path: str, fields: str, files_per_trigger:
     )
 
 
+def stream_from(spark: SparkSession, path: str, fields: str, from_offset: int = 0) -> DataFrame:
+    """A topic as a stream of offset, key and value columns. A new query starts at ``from_offset``, one with a checkpoint where it
+    ended; files before that are not opened. Later deliveries are seen once :func:`offset_index` has been called on them."""
+    offset_index(spark, path)
+    spark.dataSource.register(TopicSource)
+    place, system = jvm_path(spark, f"{path}/{INDEX}")
+    folder = system.makeQualified(place).toUri().toString()
+    return _messages_of(spark.readStream.format("topic").options(index=folder, from_offset=from_offset).load(), fields)
+
+
 def stream_kafka(
     spark: SparkSession, servers: str, topic: str, fields: str, starting: str = "earliest", per_trigger: int = 5_000_000
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import scratch_path
 from ebbtide.sources import topics
+from ebbtide.streaming import events as ev
 
 FIELDS = "customer_id string, value double"
 
@@ -96,3 +97,51 @@ def test_two_indexers_agree(spark):
         t.join()
     assert found[0] == found[1] == topics.offset_index(spark, path) and sum(d.n for d in found[0]) == 50
     assert topics.read_topic(spark, path, FIELDS).agg(F.count_distinct("offset")).first()[0] == 50
+
+
+def test_lines_of_byte_ranges_are_each_read_once():
+    import io
+
+    from ebbtide.sources.topic_stream import lines_from
+
+    text = b"a\n\nbcd\n\xc3\xa4\n" + b"x" * 20 + b"\nlast"
+    for cuts in ([5], [1, 2, 3], [2, 7, 9, 11], list(range(1, len(text)))):
+        bounds = list(zip([0, *cuts], [*cuts, None]))
+        assert [x for a, z in bounds for x in lines_from(io.BytesIO(text), a, z)] == text.split(b"\n"), cuts
+
+
+def test_a_stream_starts_at_an_offset_and_goes_on_after_a_restart(spark):
+    path, out, checkpoint = scratch_path(spark, "streamed topic"), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    for k in range(3):
+        deliver(spark, path, range(100 * k, 100 * k + 100))
+
+    def run(from_offset):
+        done = ev.run_available(topics.stream_from(spark, path, FIELDS, from_offset), out, checkpoint, spark)
+        return {r["offset"]: r["value"] for r in done.collect()}
+
+    read = {r["offset"]: r["value"] for r in topics.read_topic(spark, path, FIELDS).collect()}
+    assert run(150) == {k: v for k, v in read.items() if k >= 150}
+    deliver(spark, path, range(300, 400))
+    topics.offset_index(spark, path)
+    done = run(0)  # the checkpoint holds, not the new start
+    assert sorted(done) == list(range(150, 400)) and spark.read.parquet(out).count() == 250
+
+
+def test_stream_partitions_are_the_blocks_of_the_range(spark):
+    from ebbtide.sources.topic_stream import TopicReader
+
+    path = scratch_path(spark, "blocks")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        deliver(spark, path, range(200), 1)
+        index = topics.offset_index(spark, path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    reader = TopicReader(f"{path}/{topics.INDEX}", 0)
+    assert len(index[-1].blocks) > 5 and reader.latestOffset() == {"offset": 200}
+    parts = reader.partitions({"offset": 120}, {"offset": 130})
+    assert len(parts) < len(index[-1].blocks) / 2
+    assert [o for p in parts for b in reader.read(p) for o in b.column(0).to_pylist()] == list(range(120, 130))
+    whole = [v for p in reader.partitions({"offset": 0}, {"offset": 200}) for b in reader.read(p) for v in b.column(1).to_pylist()]
+    assert whole == [r["value"] for r in spark.read.text(path, recursiveFileLookup=True).collect()]
