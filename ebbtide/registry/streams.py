@@ -33,6 +33,11 @@ def updates(x, version="scorecard-v1"):
     return risk.risk_updates(ev.validated(stream_of(x)), scored_customers(x), version)
 
 
+def folded(x, version="scorecard-v1"):
+    places = [scratch_path(x.spark, n) for n in ("folded-risk", "stream-checkpoint")]
+    return risk.run_folded(ev.validated(stream_of(x)), scored_customers(x), *places, model_version=version)
+
+
 _LEVEL = "CASE WHEN {p} < 0.5 THEN 'LOW' WHEN {p} < 0.7 THEN 'MEDIUM' WHEN {p} < 0.85 THEN 'HIGH' ELSE 'CRITICAL' END"
 _UPDATES = _DELTAS + f""", moved AS (
     SELECT event_id, r.customer_id, event_type, CAST(ROUND(p_before, 4) AS DOUBLE) AS previous_probability,
@@ -64,6 +69,13 @@ def _(x):
 
 @query("m02_risk_updates", _UPDATES + f"SELECT {', '.join(_SHOWN)} FROM decided_moves")
 def _(x):
+    """The micro-batches folded in ranges, with the state in stored tables."""
+    return folded(x).select(*_SHOWN)
+
+
+@query("m16_keyed_state_updates", _UPDATES + f"SELECT {', '.join(_SHOWN)} FROM decided_moves")
+def _(x):
+    """The same updates from one streaming plan with keyed state."""
     return ev.run_available(updates(x)).select(*_SHOWN)
 
 
@@ -88,8 +100,7 @@ def _(x):
 )
 def _(x):
     """The first update of every customer starts from the scored table."""
-    done = ev.run_available(updates(x))
-    return done.groupBy("customer_id").agg(
+    return folded(x).groupBy("customer_id").agg(
         F.min_by("previous_probability", F.struct("timestamp", "event_id")).alias("seeded_probability")
     )
 

@@ -83,3 +83,26 @@ def test_late_events_that_are_no_copies_come_out(spark, tmp_path):
         spark.createDataFrame(times, SCHEMA).coalesce(1).write.parquet(f"{folder}/part={name}")
     done = ev.run_available(ev.deduplicated(ev.validated(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder))))
     assert sorted(r["event_id"] for r in done.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_folded_batches_equal_keyed_state_and_survive_repeats(spark, inputs, tmp_path):
+    """Four batches with a snapshot after every second one, late events among them, a restart and a repeated batch."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    hot = inputs.events.withColumn("customer_id", F.when(F.col("event_id") % 3 == 0, F.lit("C1")).otherwise(F.col("customer_id")))
+    who = scored(inputs)
+    known = who.select("customer_id").first()["customer_id"]
+    hot = hot.withColumn("customer_id", F.when(F.col("customer_id") == "C1", known).otherwise(F.col("customer_id")))
+    for low in (600, 0, 300):
+        add(hot, folder, low, low + 300)
+    done = risk.run_folded(ev.validated(source(spark, folder)), who, out, check, snapshot_every=2)
+    assert done.count() == 900
+    add(hot, folder, 900, 1000)
+    done = risk.run_folded(ev.validated(source(spark, folder)), who, out, check, snapshot_every=2)
+    keyed = ev.run_available(risk.risk_updates(ev.validated(source(spark, folder)), who))
+    assert done.count() == 1000 and done.exceptAll(keyed.select(*done.columns)).isEmpty()
+    state = f"{out}/state/run=once"
+    before = sorted(map(tuple, risk.kept_state(spark, state, 99).collect()))
+    batch = spark.read.schema(SCHEMA).parquet(folder).filter("event_id >= 900")
+    risk.store_folded(out, "once", who, snapshot_every=2)(ev.validated(batch), 3)  # the last batch again
+    assert sorted(map(tuple, risk.kept_state(spark, state, 99).collect())) == before
+    assert glob.glob(f"{state}/snapshots/*") and known in {b[0] for b in before}
