@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded
-from ebbtide.models import calibrate, explain, search, segment
+from ebbtide.models import calibrate, explain, search, segment, versions
 from ebbtide.models import candidates as models
 from ebbtide.models.prepare import FEATURES, feature_names, fit_preparation, prepared, slot_columns
 from ebbtide.operators import attribution, metrics, segments, split
@@ -15,7 +18,7 @@ from ebbtide.plans import warehouse
 from ebbtide.plans.scoring import find_customers
 from ebbtide.registry.base import also, money, query
 from ebbtide.registry.drift import _SPLIT
-from ebbtide.session import written
+from ebbtide.session import scratch_path, written
 from ebbtide.sources.projection import SCORECARD, SCORECARD_INTERCEPT, scorecard_signals
 from ebbtide.vocab import CATEGORICAL, NUMERIC
 
@@ -165,12 +168,35 @@ def _(x):
     return metrics.reliability(x.scored, P, Y)
 
 
+_VERSIONED = """WITH ranked AS (SELECT Contract, Churn, churn_probability, RANK() OVER (PARTITION BY Contract ORDER BY churn_probability)
+        + (COUNT(*) OVER (PARTITION BY Contract, churn_probability) - 1) / 2.0::DOUBLE AS r FROM scored),
+      m AS (SELECT Contract, (SUM(r) FILTER (Churn = 1) - SUM(Churn) * (SUM(Churn) + 1) / 2.0::DOUBLE) / NULLIF(SUM(Churn) * (COUNT(*) - SUM(Churn)), 0) AS a,
+        AVG((churn_probability - Churn) * (churn_probability - Churn)) AS b FROM ranked GROUP BY Contract)
+      SELECT Contract, COALESCE(ROUND(a, 4) >= 0.80 AND ROUND(b, 4) <= 0.20, FALSE) AS gate_passed,
+        CASE WHEN ROUND(a, 4) >= 0.80 AND ROUND(b, 4) <= 0.20 THEN 'production' ELSE 'staging' END AS stage FROM m"""
+
+
 @query("o15_calibration")
 def _(x):
     table, chosen = calibrate.calibration_report(calibrate.calibration_variants(parts_of(x)))
     return table.withColumn("selected", F.col("variant") == chosen)
 
 
+@query(
+    "o21_registered_versions",
+    f""", v AS ({_VERSIONED}) SELECT 'churn-' || Contract AS model_name, version, gate_passed, stage FROM v, (VALUES (1), (2)) n(version)""",
+)
+def _(x):
+    """A model for each contract, registered twice; the versions as they are read back."""
+    table = metrics.classification_metrics(x.scored, P, Y, by=["Contract"])
+    root, out = scratch_path(x.spark, "registry"), []
+    for r in table.select("Contract", "roc_auc", "brier").collect():  # one row for each model
+        for _ in range(2):
+            versions.register(x.spark, root, f"churn-{r['Contract']}", r.asDict())
+        out.append(versions.versions(x.spark, root, f"churn-{r['Contract']}"))
+    return functools.reduce(DataFrame.unionByName, out).select("model_name", "version", "gate_passed", "stage")
+
+
 _BY_CONTRACT = f"""SELECT Contract AS model, {money('AVG((churn_probability - Churn) * (churn_probability - Churn))', 4)} AS brier,
       {money('AVG(-LN(CASE WHEN Churn = 1 THEN churn_probability ELSE 1 - churn_probability END))', 4)} AS log_loss FROM scored GROUP BY Contract"""
 
@@ -227,7 +253,9 @@ def _(x):
 )
 def _(x):
     table = metrics.threshold_metrics(x.scored, P, Y, by=["Contract"])
-    log = calibrate.run_log(table, "compare", "Contract", tags={"phase": "comparison"})
+    root = scratch_path(x.spark, "registry")
+    versions.log_runs(table, root, "compare", "Contract", tags={"phase": "comparison"})
+    log = versions.logged(x.spark, root).drop("batch")
     return log.filter((F.col("key") == "brier") | (F.col("kind") == "tag"))
 
 
