@@ -43,6 +43,23 @@ def _psi(cells: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(edges: DataFrame, counts: DataFrame) -> DataFrame:
+    """Inner bin edges of each feature from its quantiles and the reference's counts (feature, value, ref)."""
+    weighted = F.col("value") * F.col("ref")
+    spans = counts.groupBy("feature").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), (F.sum(weighted) / F.sum("ref")).alias("mean")
+    )
+    unique = F.array_distinct("edges")
+    return (
+        edges.join(spans, "feature")
+        .withColumn("e", unique)
+        .select(
+            "feature",  # a reference with fewer than two cells is split at its mean
+            F.when(F.size("e") < 3, F.array("mean")).otherwise(F.slice("e", 2, F.size("e") - 2)).alias("cuts"),
+        )
+    )
+
+
 def psi_numeric(
     df: DataFrame, features: list[str], side: str = "side", bins: int = 10, exact: bool = True
 ) -> DataFrame:
@@ -56,19 +73,7 @@ def psi_numeric(
     else:
         reference = df.filter(F.col(side) == REFERENCE).select(F.inline(F.array(*entries)))
         edges = approx_quantiles(reference, ["feature"], "value", probs)
-    weighted = F.col("value") * F.col("ref")
-    spans = counts.filter("ref > 0").groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), (F.sum(weighted) / F.sum("ref")).alias("mean")
-    )
-    unique = F.array_distinct("edges")
-    cuts = (
-        edges.join(spans, "feature")
-        .withColumn("e", unique)
-        .select(
-            "feature",  # a reference with fewer than two cells is split at its mean
-            F.when(F.size("e") < 3, F.array("mean")).otherwise(F.slice("e", 2, F.size("e") - 2)).alias("cuts"),
-        )
-    )
+    cuts = _cuts(edges, counts.filter("ref > 0"))
     value = F.col("value")
     inside = F.coalesce(F.size(F.filter("cuts", lambda e: e <= value)), F.lit(0))
     binned = (
@@ -138,7 +143,12 @@ def drift_report(
     The score is measured in the same pass as the numeric features.
     """
     numeric = [*MONITOR_NUMERIC, score] if score else MONITOR_NUMERIC
-    measured = written(feature_drift(df, numeric, side=side, cfg=cfg), "drift")  # one row per feature
+    return report_of(feature_drift(df, numeric, side=side, cfg=cfg), score, scenario, cfg)
+
+
+def report_of(features: DataFrame, score: str | None, scenario: str, cfg: Settings = DEFAULTS) -> DataFrame:
+    """The report over the measured features, the score among them."""
+    measured = written(features, "drift")  # one row per feature
     is_score = F.col("feature") == (score or "")
     predicted = measured.filter(is_score).select(F.struct("psi", "drifted")).scalar()
     retrain = (F.col("share_drifted") > cfg.max_drifted_share) | F.coalesce(F.col("_p.drifted"), F.lit(False))

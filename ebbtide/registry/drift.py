@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.numeric import rounded
 from ebbtide.operators import drift as d
+from ebbtide.operators import reference
 from ebbtide.plans.monitoring import build_report, train_against_test, with_sides
 from ebbtide.registry.base import money, query
+from ebbtide.session import written
 from ebbtide.vocab import MONITOR_CATEGORICAL, MONITOR_NUMERIC
 
 _SPLIT = """, parts AS (SELECT *, CASE WHEN MD5(customerID || '42')[1:8] < 'b3333333' THEN 'train'
@@ -106,6 +108,23 @@ def _(x):
     return build_report(x.scored)
 
 
+def sides_of(x):
+    """The stored profile of the reference rows, and the current rows."""
+    rows = train_against_test(x.scored)
+    kept = rows.filter(F.col("side") == d.REFERENCE)
+    return written(reference.profile_of(kept, [*MONITOR_NUMERIC, "churn_probability"]), "profile"), rows.filter(F.col("side") == d.CURRENT)
+
+
+@query("q20_drift_against_profile", _REAL + _FEATURES + "SELECT * FROM feature_drift")
+def _(x):
+    return reference.drift_against(*sides_of(x)).filter("feature <> 'churn_probability'")
+
+
+@query("q21_report_against_profile", _report(_REAL, "real:train-vs-test"))
+def _(x):
+    return reference.report_against(*sides_of(x), scenario="real:train-vs-test")
+
+
 @query("g14_category_union", _YOUNG_OLD + _categorical(["Contract", "PaymentMethod"]) + "SELECT feature, v AS value, r AS ref, c AS cur FROM cat_cells")
 def _(x):
     entries = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in ("Contract", "PaymentMethod")]
