@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
@@ -29,18 +31,17 @@ def _logit(c: str) -> Column:
 
 
 def calibration_variants(
-    parts: DataFrame, base: str = "logistic_regression", folds: int = 5, cfg: Settings = DEFAULTS
+    parts: DataFrame, base: str = "logistic_regression", folds: int = 5, cfg: Settings = DEFAULTS, parallelism: int = 3
 ) -> DataFrame:
     """Validation rows scored by each variant: variant, label, probability.
 
     Per fold the base model is fitted on the other folds and both calibrators on the fold's own
-    scores; a variant's probability is the mean over its folds.
+    scores; a variant's probability is the mean over its folds. ``parallelism`` fits run at a time, as one alone waits
+    for its small jobs; each holds its rows in storage.
     """
-    columns = [ID, "split", *FEATURED_NUMERIC, *CATEGORICAL, LABEL]
+    parts = written(parts.select(ID, "split", *FEATURED_NUMERIC, *CATEGORICAL, LABEL), "parts")
     prep = fit_preparation(parts.filter("split = 'train'"), FEATURED_NUMERIC, CATEGORICAL)
-    vectors = written(
-        with_folds(prepared(prep, parts.select(*columns)).select(ID, "split", LABEL, FEATURES), folds), "calibration"
-    )
+    vectors = written(with_folds(prepared(prep, parts).select(ID, "split", LABEL, FEATURES), folds), "calibration")
     train, val = vectors.filter("split = 'train'"), vectors.filter("split = 'val'")
     estimator = candidates(train.count(), cfg)[base]
     train = sized(train, cfg)
@@ -48,16 +49,24 @@ def calibration_variants(
     def scored(model, df: DataFrame, name: str) -> DataFrame:
         return with_probability(model.transform(df), name).drop("rawPrediction", "probability", "prediction")
 
-    out = scored(estimator.fit(train), val, "uncalibrated")
     assemble = VectorAssembler(inputCols=["_z"], outputCol="_zv")
-    for k in range(folds):
+
+    def fitted(k: int | None) -> tuple:
+        """The model of all train rows, or a fold's model and its calibrators."""
+        if k is None:
+            return (estimator.fit(train),)
         model = estimator.fit(train.filter(F.col("fold") != k))
         held = written(scored(model, train.filter(F.col("fold") == k), "_p"), "fold")
         held = assemble.transform(held.withColumn("_z", _logit("_p")))
         platt = LogisticRegression(featuresCol="_zv", labelCol=LABEL).fit(held)
         # The fit gathers its points on the driver: a fixed grid of scores, weighted by their rows, bounds them.
         grid = held.groupBy(F.round("_p", 4).alias("_p")).agg(F.avg(LABEL).alias(LABEL), F.count("*").cast("double").alias("_w"))
-        isotonic = IsotonicRegression(featuresCol="_p", labelCol=LABEL, weightCol="_w").fit(grid)
+        return model, platt, IsotonicRegression(featuresCol="_p", labelCol=LABEL, weightCol="_w").fit(grid)
+
+    with ThreadPool(parallelism) as pool:
+        (whole,), *by_fold = pool.map(inheritable_thread_target(train.sparkSession)(fitted), [None, *range(folds)], chunksize=1)
+    out = scored(whole, val, "uncalibrated")
+    for k, (model, platt, isotonic) in enumerate(by_fold):
         out = assemble.transform(scored(model, out, "_p").withColumn("_z", _logit("_p")))
         out = scored(platt, out, f"_platt_{k}")
         out = isotonic.transform(out).withColumnRenamed("prediction", f"_iso_{k}").drop("_p", "_z", "_zv")
