@@ -27,7 +27,7 @@ from ebbtide.sources.commits import jvm_path
 # Raised by the state serializer for every batch; harmless.
 warnings.filterwarnings("ignore", message=".*DataFrame concatenation with empty.*", category=FutureWarning)
 
-_STEP = "customer_id string, event_id long, event_type string, timestamp timestamp, value double, p_before long, p_after long"
+_STEP = "customer_id string, event_id long, micros long, rest string, p_before long, p_after long"
 
 _STATE = "customer_id string, p long, batch long"
 _UPDATED = (
@@ -45,16 +45,22 @@ DECISION_SIGNALS = [
 
 
 def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Apply a customer's events of this micro-batch in time order to the kept probability; the
-    customer's signals pass through."""
-    events = pd.concat(list(batches), ignore_index=True).sort_values(["timestamp", "event_id"], ignore_index=True)
-    start = state.get[0] if state.exists else int(events["p0"].iloc[0])
-    d, lo, hi = prefix_maps(np.zeros(len(events), np.int8), events["delta"].to_numpy())
+    """Apply a customer's events of this micro-batch in time order to the kept probability. There are many small frames, each
+    of which costs by its columns: time is a number, and all that only passes through is one text."""
+    frames = list(batches)
+    events = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    ids, micros = events["event_id"].to_numpy(), events["micros"].to_numpy()
+    order = np.lexsort((ids, micros))
+    start = state.get[0] if state.exists else int(events["p0"].iloc[order[0]])
+    d, lo, hi = prefix_maps(np.zeros(len(events), np.int8), events["delta"].to_numpy()[order])
     after = np.minimum(hi, np.maximum(lo, start + d))
-    events["p_after"] = after
-    events["p_before"] = np.concatenate(([start], after[:-1]))
     state.update((int(after[-1]),))
-    yield events[["customer_id", "event_id", "event_type", "timestamp", "value", "p_before", "p_after", *DECISION_SIGNALS]]
+    yield pd.DataFrame(
+        {
+            "customer_id": key[0], "event_id": ids[order], "micros": micros[order], "rest": events["rest"].to_numpy()[order],
+            "p_before": np.concatenate(([start], after[:-1])), "p_after": after,
+        }
+    )
 
 
 def risk_updates(
@@ -66,14 +72,16 @@ def risk_updates(
     seed = scored.select(
         "customer_id", (F.col("churn_probability").cast("decimal(18,9)") * UNIT).cast("long").alias("p0"), *DECISION_SIGNALS
     )
-    schema = ", ".join([_STEP, *(f"{c} {seed.schema[c].dataType.simpleString()}" for c in DECISION_SIGNALS)])
+    rest = ["event_type", "value", *DECISION_SIGNALS]
     moves = events.select(
-        "customer_id", "event_id", "event_type", F.col("timestamp").cast("timestamp").alias("timestamp"), "value",
+        "customer_id", "event_id", "event_type", F.unix_micros(F.col("timestamp").cast("timestamp")).alias("micros"), "value",
         (event_delta("event_type") * F.lit(UNIT)).cast("long").alias("delta"),
     ).join(seed, "customer_id")
-    stepped = moves.groupBy("customer_id").applyInPandasWithState(
-        _step, schema, "p long", "append", GroupStateTimeout.NoTimeout
-    )
+    packed = ", ".join(f"{c} {moves.schema[c].dataType.simpleString()}" for c in rest)
+    stepped = moves.select("customer_id", "event_id", "micros", "delta", "p0", F.to_json(F.struct(*rest)).alias("rest")).groupBy(
+        "customer_id"
+    ).applyInPandasWithState(_step, _STEP, "p long", "append", GroupStateTimeout.NoTimeout)
+    stepped = stepped.withColumns({"timestamp": F.timestamp_micros("micros"), "rest": F.from_json("rest", packed)}).select("*", "rest.*")
     return _decided(stepped, model_version, cfg).select(*_UPDATE)
 
 
