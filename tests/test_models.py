@@ -63,6 +63,32 @@ def test_models_can_be_shipped_after_a_load(spark, parts, tmp_path):
     assert table.count() == 1
 
 
+def test_preparation_reads_the_rows_once(spark, parts):
+    """Every stage of the preparation and the vectors come from one pass over the given rows."""
+    rows = parts.localCheckpoint()
+    for fit in (
+        lambda p: candidates.fit_candidates(p, ["decision_tree"]),
+        lambda p: calibrate.calibration_variants(p, folds=2),
+    ):
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(frames, read=read):
+            for frame in frames:
+                read.add(len(frame))
+                yield frame
+
+        fit(rows.mapInPandas(counted, rows.schema))
+        assert read.value == rows.count()
+
+
+def test_calibration_does_not_depend_on_how_many_fits_run_at_a_time(parts):
+    one, three = (
+        {(r["customerID"], r["variant"]): r["churn_probability"] for r in calibrate.calibration_variants(parts, folds=2, parallelism=k).collect()}
+        for k in (1, 3)
+    )
+    assert one == pytest.approx(three, abs=1e-6)
+
+
 def test_search_draws_come_from_the_space(parts):
     for name, space in candidates.SPACES.items():
         points = candidates.draws(name, 15, 42)

@@ -41,6 +41,28 @@ def test_batches_and_restarts_equal_the_batch_fold(spark, inputs, tmp_path):
     assert done.count() == 1000 and got.exceptAll(batch).count() == 0
 
 
+def test_state_frames_carry_one_text_for_all_that_passes_through(spark, inputs, tmp_path, monkeypatch):
+    """A customer's frame costs by its columns; what is packed comes back with its types and its nulls."""
+    folder, widths = str(tmp_path / "in"), spark.sparkContext.accumulator(0)
+    step = risk._step
+
+    def measured(key, batches, state):
+        frames = list(batches)
+        for frame in frames:
+            widths.add(max(0, len(frame.columns) - 6))
+        yield from step(key, iter(frames), state)
+
+    monkeypatch.setattr(risk, "_step", measured)
+    odd = inputs.events.withColumn("value", F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).when(F.col("event_id") % 3 == 1, F.col("value")))
+    add(odd, folder, 0, 90)
+    who = scored(inputs).withColumn("tenure", F.when(F.col("tenure") % 2 == 0, F.col("tenure")))
+    done = ev.run_available(risk.risk_updates(source(spark, folder), who))
+    assert done.count() == 90 and widths.value == 0
+    columns = ["event_id", "event_type", F.col("timestamp").cast("timestamp"), "value"]
+    sent = odd.filter("event_id < 90").select(*columns)
+    assert done.select(*columns).exceptAll(sent).count() == 0 and sent.exceptAll(done.select(*columns)).count() == 0
+
+
 def test_invalid_events_are_quarantined(spark, tmp_path):
     rows = [(1, "a", "login", None, None, True), (2, "a", "dance", None, 2.0, True), (3, None, "login", None, 1.0, True), (4, "a", None, None, 1.0, True)]
     df = spark.createDataFrame(rows, SCHEMA)
