@@ -73,10 +73,11 @@ def fit_candidates(
     parts: DataFrame, names: list[str] | None = None, numeric: list[str] = FEATURED_NUMERIC,
     categorical: list[str] = CATEGORICAL, balanced: bool = False, cfg: Settings = DEFAULTS,
 ) -> Fitted:
-    """Fit every candidate on the train rows of ``parts`` (with a ``split`` column). The feature vectors are written once
-    and read by every model."""
+    """Fit every candidate on the train rows of ``parts`` (with a ``split`` column). The rows are written once and read by
+    every stage of the preparation, the feature vectors once and read by every model."""
+    parts = written(parts.select(ID, "split", *numeric, *categorical, LABEL), "parts")
     prep = fit_preparation(parts.filter("split = 'train'"), numeric, categorical)
-    vectors = written(prepared(prep, parts.select(ID, "split", *numeric, *categorical, LABEL)).select(ID, "split", LABEL, FEATURES), "vectors")
+    vectors = written(prepared(prep, parts).select(ID, "split", LABEL, FEATURES), "vectors")
     fit_rows = vectors.filter("split = 'train'")
     rows = fit_rows.count()
     if balanced:
