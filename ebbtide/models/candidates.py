@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ebbtide.config import DEFAULTS, Settings
 from ebbtide.models.perceptron import Perceptron
 from ebbtide.models.prepare import FEATURES, LABEL, fit_preparation, prepared, preparation_stages, with_balance_weight
+from ebbtide.models.trees import fit_boosted, fit_forest, packed
 from ebbtide.operators.features import FEATURED_NUMERIC
 from ebbtide.operators.metrics import classification_metrics
 from ebbtide.session import written
@@ -44,6 +45,10 @@ def candidates(rows: int, cfg: Settings = DEFAULTS, balanced: bool = False) -> d
     }
 
 
+#: Ensembles of hundreds of trees grow from packed rows, which the first of them makes for both.
+ENSEMBLES = {"random_forest": fit_forest, "gradient_boosting": fit_boosted}
+
+
 def sized(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """The rows of a fit in ``fit_tasks`` partitions at most, or as they are stored without that
     setting: seeded bagging follows the partitions, so they never depend on the number of rows."""
@@ -83,12 +88,16 @@ def fit_candidates(
     if balanced:
         fit_rows = with_balance_weight(fit_rows)
     fit_rows = sized(fit_rows, cfg)
-    fitted = Fitted({}, {}, vectors, {})
+    fitted, data = Fitted({}, {}, vectors, {}), None
     for name, estimator in candidates(rows, cfg, balanced).items():
         if names and name not in names:
             continue
         begun = time.perf_counter()
-        fitted.models[name] = estimator.fit(fit_rows)
+        if name in ENSEMBLES:
+            data = data or packed(fit_rows, FEATURES, LABEL, "balance_weight" if balanced else None)
+            fitted.models[name] = ENSEMBLES[name](estimator, data)
+        else:
+            fitted.models[name] = estimator.fit(fit_rows)
         fitted.seconds[name] = round(time.perf_counter() - begun, 3)
         fitted.pipelines[name] = PipelineModel([*prep.stages, fitted.models[name]])
     return fitted
