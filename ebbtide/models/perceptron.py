@@ -1,17 +1,19 @@
 """A perceptron with hidden layers, trained data-parallel in mini-batches.
 
 Every task takes Adam steps over the mini-batches of its rows, beginning at the shared state; after each pass the states of
-all tasks are averaged, weighted by their rows. A pass is one job and also measures the state it began with on the held-out
-rows, so that training ends once these no longer gain.
+all tasks are averaged, weighted by their rows. A pass also measures the state it began with on the held-out rows, so that
+training ends once these no longer gain. All passes are one stage: tasks keep their rows in a mapped file and exchange states.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+import pyarrow as pa
+from pyspark import TaskContext, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -20,6 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.models.together import MOST_TOGETHER, dealt, run_together, slots
 from ebbtide.session import ship_package, written
 
 _B1, _B2, _TINY = 0.9, 0.999, 1e-8  # Adam's usual decay rates
@@ -48,8 +51,9 @@ def activations(x: np.ndarray, layers: list) -> list[np.ndarray]:
     """The input, each hidden layer's output (rectified), and the logit."""
     out = [x]
     for k, (w, b) in enumerate(layers):
-        z = out[-1] @ w + b
-        out.append(np.maximum(z, 0.0) if k < len(layers) - 1 else z)
+        z = out[-1] @ w
+        z += b
+        out.append(np.maximum(z, 0.0, out=z) if k < len(layers) - 1 else z)
     return out
 
 
@@ -61,14 +65,17 @@ def gradient(flat: np.ndarray, sizes: list[int], x: np.ndarray, y: np.ndarray, w
     """Gradient of the weighted mean loss plus half the penalty times the squared weights, by the batch's weight."""
     layers, total = layers_of(flat, sizes), weight.sum()
     acts = activations(x, layers)
-    out = np.zeros_like(flat)
+    out = np.empty_like(flat)
     slots = layers_of(out, sizes)
     delta = ((1 / (1 + np.exp(-np.clip(acts[-1][:, 0], -500, 500))) - y) * weight / total)[:, None]
     for k in range(len(layers) - 1, -1, -1):
-        slots[k][0][:] = acts[k].T @ delta + penalty / total * layers[k][0]
-        slots[k][1][:] = delta.sum(0)
+        np.matmul(acts[k].T, delta, out=slots[k][0])
+        slots[k][0][:] += penalty / total * layers[k][0]
+        delta.sum(0, out=slots[k][1])
         if k:
-            delta = (delta @ layers[k][0].T) * (acts[k] > 0)
+            back = np.ascontiguousarray(layers[k][0].T)
+            delta = delta @ back if len(back) > 1 else delta * back
+            np.multiply(delta, acts[k] > 0, out=delta)
     return out
 
 
@@ -110,54 +117,84 @@ class Perceptron(
         if width is None:
             raise ValueError("no rows to fit on")
         sizes = [width, *get(self.hidden), 1]
-        size = len(first_state(sizes, 0))
-        state = np.concatenate([first_state(sizes, get(self.seed)), np.zeros(2 * size)])  # weights, Adam's two moments
-        steps, best, best_loss, idle, spent = 0.0, state[:size].copy(), np.inf, 0, 0
-        for spent in range(get(self.maxIter) + 1):
-            begun = _pass(rows, state, steps, sizes, get(self.penalty), get(self.batch), get(self.stepSize), get(self.seed) + spent)
-            loss = begun["held_loss"] / begun["held_weight"] if begun["held_weight"] else begun["loss"] / max(begun["weight"], _TINY)
-            idle = 0 if loss < best_loss - get(self.tol) else idle + 1
-            if loss < best_loss:
-                best, best_loss = state[:size].copy(), loss
-            if idle >= get(self.patience) or not begun["weight"]:
-                break
-            state, steps = begun["state"], begun["steps"]
-        model = PerceptronModel(featuresCol=get(self.featuresCol), sizes=sizes, weights=best.tolist(), passes=spent, heldOutLoss=float(best_loss))
+        table = written(rows.mapInArrow(_frames, "part int, frame int, x binary, y binary, w binary, held binary"), "frames")
+        parts, most = rows.rdd.getNumPartitions(), min(slots(dataset.sparkSession), MOST_TOGETHER)
+        # Each stored partition is a task's, as long as they can all run together; else frames are dealt in turn.
+        tasks = table.rdd.map(lambda r: (r[0], tuple(r))).partitionBy(parts, int).values() if parts <= most else dealt(table, most)
+        settings = {p: get(getattr(self, p)) for p in ("penalty", "batch", "stepSize", "seed", "maxIter", "tol", "patience")}
+        best, best_loss, spent = run_together(dataset.sparkSession, tasks, lambda frames, gather: _passes(frames, gather, sizes, settings))
+        model = PerceptronModel(featuresCol=get(self.featuresCol), sizes=sizes, weights=best, passes=spent, heldOutLoss=best_loss)
         return model
 
 
-def _pass(rows: DataFrame, state: np.ndarray, steps: float, sizes: list[int], penalty: float, batch: int, rate: float, seed: int) -> dict:
-    """One pass of all tasks. Their states meet as sums per position, so that the driver sees one state, however many tasks."""
-    size = len(state) // 3
-
-    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flat, m, v = (part.copy() for part in np.split(state, 3))
-        begun, done, rng = layers_of(flat.copy(), sizes), steps, np.random.default_rng(seed)
-        sums = np.zeros(4)  # weight and loss of the learnt rows, weight and loss of the held-out rows
-        for frame in frames:
-            if not len(frame):
-                continue
-            x, y, w, held = np.stack(frame["x"].to_numpy()), frame["y"].to_numpy(), frame["w"].to_numpy(), frame["held"].to_numpy(bool)
-            loss = row_losses(activations(x, begun)[-1][:, 0], y) * w
-            sums += [w[~held].sum(), loss[~held].sum(), w[held].sum(), loss[held].sum()]
-            order = rng.permutation(np.flatnonzero(~held & (w > 0)))
-            for at in range(0, len(order), batch):
-                of = order[at:at + batch]
-                g = gradient(flat, sizes, x[of], y[of], w[of], penalty)
-                done += 1
-                m[:] = _B1 * m + (1 - _B1) * g
-                v[:] = _B2 * v + (1 - _B2) * g * g
-                flat -= rate * (m / (1 - _B1**done)) / (np.sqrt(v / (1 - _B2**done)) + _TINY)
-        values = np.concatenate([flat, m, v, [done]]) * sums[0]
-        yield pd.DataFrame({"pos": np.arange(len(values) + 4), "value": np.concatenate([values, sums])})
-
-    parts = rows.mapInPandas(learn, "pos int, value double")
-    total = parts.groupBy("pos").agg(F.sum("value").alias("value")).toPandas().sort_values("pos")["value"].to_numpy()
-    weight, loss, held_weight, held_loss = total[-4:]
-    mean = total[:-4] / weight if weight else np.concatenate([state, [steps]])
-    return {
-        "state": mean[:3 * size], "steps": mean[-1], "weight": weight, "loss": loss, "held_weight": held_weight, "held_loss": held_loss,
-    }
+def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every batch of rows as one row of packed columns, with its place."""
+    part = TaskContext.get().partitionId()
+    for k, batch in enumerate(b for b in batches if b.num_rows):
+        packed = [batch["x"].flatten(), *(batch[c].cast(t) for c, t in (("y", pa.float64()), ("w", pa.float64()), ("held", pa.uint8())))]
+        columns = [pa.array([part], pa.int32()), pa.array([k], pa.int32()), *(pa.array([c.to_numpy().tobytes()], pa.binary()) for c in packed)]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "frame", "x", "y", "w", "held"])
+
+
+def _mapped(frames: Iterable[tuple], width: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The task's frames in their order; vectors lie in a mapped file, so that they need not fit in memory."""
+    file, found, at = tempfile.TemporaryFile(), {}, 0
+    for part, frame, x, *others in frames:
+        y, w, held = (np.frombuffer(v, t) for v, t in zip(others, (np.float64, np.float64, np.bool_), strict=True))
+        file.write(x)
+        found[part, frame] = at, y, w, held
+        at += len(x)
+    file.flush()
+    whole = np.memmap(file, np.float64, "r") if at else np.zeros(0)
+    return [(whole[at // 8 : at // 8 + len(y) * width].reshape(-1, width), y, w, held) for at, y, w, held in (found[k] for k in sorted(found))]
+
+
+def _passes(frames: Iterable[tuple], gather: Callable[[np.ndarray], list[np.ndarray]], sizes: list[int], settings: dict) -> tuple[list[float], float, int]:
+    """All passes; every task takes the same decisions from the same sums. Gives the best weights, their loss and the passes."""
+    frames = _mapped(frames, sizes[0])
+    size = len(first_state(sizes, 0))
+    state = np.concatenate([first_state(sizes, settings["seed"]), np.zeros(2 * size)])  # weights, Adam's two moments
+    learnt_weight = float(sum(w[~held].sum() for _, _, w, held in frames))
+    weight, held_weight = sum(gather(np.array([learnt_weight, sum(w[held].sum() for _, _, w, held in frames)])))
+    steps, best, best_loss, idle, spent = 0.0, state[:size].copy(), np.inf, 0, 0
+    for spent in range(settings["maxIter"] + 1):
+        ended, done, loss = _pass(frames, state, steps, sizes, settings, settings["seed"] + spent, held_weight > 0)
+        whole = sum(gather(np.concatenate([np.append(ended, done) * learnt_weight, [loss]])))
+        loss = whole[-1] / held_weight if held_weight else whole[-1] / max(weight, _TINY)
+        idle = 0 if loss < best_loss - settings["tol"] else idle + 1
+        if loss < best_loss:
+            best, best_loss = state[:size].copy(), loss
+        if idle >= settings["patience"] or not weight:
+            break
+        state, steps = whole[: 3 * size] / weight, whole[3 * size] / weight
+    return best.tolist(), float(best_loss), spent
+
+
+def _pass(frames: list[tuple], state: np.ndarray, steps: float, sizes: list[int], settings: dict, seed: int, by_held: bool) -> tuple[np.ndarray, float, float]:
+    """One pass of a task: the state and steps it ends with, and the loss of the state it began with on the rows that count."""
+    flat, m, v = np.split(state.copy(), 3)
+    begun, done, rng, loss = layers_of(state[: len(flat)], sizes), steps, np.random.default_rng(seed), 0.0
+    for x, y, w, held in frames:
+        of = np.flatnonzero(held == by_held)
+        if len(of):
+            loss += (row_losses(activations(x[of], begun)[-1][:, 0], y[of]) * w[of]).sum()
+        order = rng.permutation(np.flatnonzero(~held & (w > 0)))
+        for at in range(0, len(order), settings["batch"]):
+            of = order[at:at + settings["batch"]]
+            g = gradient(flat, sizes, x[of], y[of], w[of], settings["penalty"])
+            done += 1
+            m *= _B1
+            m += (1 - _B1) * g
+            v *= _B2
+            g *= g
+            g *= 1 - _B2
+            v += g
+            np.sqrt(np.divide(v, 1 - _B2**done, out=g), out=g)
+            g += _TINY
+            np.divide(m, g, out=g)
+            g *= settings["stepSize"] / (1 - _B1**done)
+            flat -= g
+    return np.concatenate([flat, m, v]), done, loss
 
 
 class PerceptronModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):

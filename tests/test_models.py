@@ -1,11 +1,12 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ebbtide.models import calibrate, candidates, perceptron, segment
+from ebbtide.models import calibrate, candidates, perceptron, segment, trees
 from ebbtide.models.perceptron import Perceptron, PerceptronModel
 from ebbtide.models.prepare import feature_names, fit_preparation, prepared
 from ebbtide.operators.features import FEATURED_NUMERIC
@@ -186,6 +187,96 @@ def test_perceptron_gradient_penalty_and_weights(spark):
     assert norm(small) < norm(a) / 2
 
 
+def _weighted(spark, n=1500):
+    """Three numbers, six two-valued and two six-valued features, with a label that follows them."""
+    rng = np.random.default_rng(5)
+    x = np.c_[rng.normal(size=(n, 3)), rng.integers(0, 2, (n, 6)), rng.integers(0, 6, (n, 2))]
+    y = x[:, 0] + x[:, 1] * x[:, 2] + x[:, 4] * x[:, 5] + rng.normal(size=n) > 0
+    rows = [(Vectors.dense(a), float(b), float(1 + b), float(v)) for a, b, v in zip(x, y, rng.uniform(0.5, 2, n))]
+    return spark.createDataFrame(rows, ["features", "label", "by_label", "any"]).repartition(3).localCheckpoint()
+
+
+def _probabilities(model, rows):
+    return np.array([r[0] for r in model.transform(rows).select(vector_to_array("probability")[1]).collect()])
+
+
+def test_packed_trees_equal_sparks_where_nothing_is_drawn(spark, tmp_path):
+    """Boosting without subsample and a tree of all rows and features, with and without weights; and a save in between."""
+    rows = _weighted(spark)
+    for weight in (None, "by_label", "any"):
+        common = {"seed": 1, **({"weightCol": weight} if weight else {})}
+        data = trees.packed(rows, "features", "label", weight)
+        assert data.packing.width == 4 and (data.label_weights is None) == (weight == "any")
+        for learner, fit in (
+            (GBTClassifier(maxIter=4, maxDepth=3, **common), trees.fit_boosted),
+            (RandomForestClassifier(numTrees=1, bootstrap=False, featureSubsetStrategy="all", minInstancesPerNode=20, **common), trees.fit_forest),
+        ):
+            ours, theirs = fit(learner, data), learner.fit(rows)
+            assert type(ours) is type(theirs) and ours.getNumTrees == theirs.getNumTrees
+            assert np.allclose(_probabilities(ours, rows), _probabilities(theirs, rows), atol=1e-9)
+    ours.write().overwrite().save(str(tmp_path / "m"))
+    assert np.array_equal(_probabilities(type(ours).load(str(tmp_path / "m")), rows), _probabilities(ours, rows))
+
+
+def test_drawn_ensembles_are_whole_and_do_not_depend_on_tasks(spark):
+    rows = _weighted(spark)
+    data = trees.packed(rows, "features", "label")
+    boost = GBTClassifier(maxIter=30, maxDepth=4, subsamplingRate=0.9, seed=1)
+    forest = RandomForestClassifier(numTrees=40, maxDepth=6, minInstancesPerNode=5, seed=1)
+    y = np.array([r[0] for r in rows.select("label").collect()])
+    for learner, fit in ((boost, trees.fit_boosted), (forest, trees.fit_forest)):
+        ours, theirs = fit(learner, data), learner.fit(rows)
+        assert ours.getNumTrees == theirs.getNumTrees and abs(ours.totalNumNodes / theirs.totalNumNodes - 1) < 0.15
+        p = _probabilities(ours, rows)
+        assert abs(((p > 0.5) == y).mean() - ((_probabilities(theirs, rows) > 0.5) == y).mean()) < 0.04
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(trees, "slots", lambda spark: 1)
+            # Sums of real numbers in another order may part ties of boosted splits otherwise; a forest's are whole numbers.
+            apart = np.abs(_probabilities(fit(learner, data), rows) - p)
+            assert apart.mean() < 0.01 if learner is boost else apart.max() < 1e-9
+
+
+def test_forest_draws():
+    times, shares = trees._times(True, 1.0), trees._times(False, 0.25)
+    assert abs(times.mean() - 1) < 1e-3 and abs(times.var() - 1) < 2e-3 and shares.sum() == 16384 and trees._times(False, 1.0).all()
+    chosen = trees._chosen(1, 0, 6, 20, 5)
+    assert (chosen.sum(1) == 5).all() and (chosen.sum(0) > 4).all()
+
+
+def test_bounds_summaries_and_packing():
+    """Few values keep their midpoints; summaries of many values lie close to the quantiles; bins come back from their bits."""
+    assert trees.bounds_of(np.array([0.0, 1.0, 4.0]), np.array([5.0, 1.0, 0.0]), 31).tolist() == [0.5]
+    rng = np.random.default_rng(2)
+    x, none = rng.normal(size=100_000), (np.zeros(0), np.zeros(0))
+    found = none
+    for part in np.split(x, 20):
+        found = trees._merged(found, (part, np.ones(len(part))))
+    assert len(found[0]) <= trees.SUMMARY + 1 and found[1].sum() == pytest.approx(len(x))
+    bounds = trees.bounds_of(*found, 31)
+    assert np.allclose([(x <= b).mean() for b in bounds], np.arange(1, 32) / 32, atol=0.01)
+    packing = trees.Packing([bounds, np.zeros(0), np.array([0.5]), np.arange(9) + 0.5])
+    rows = np.c_[x, x, rng.integers(0, 2, len(x)), rng.integers(0, 10, len(x))][:500]
+    codes = packing.pack(rows)
+    sums = trees.tally(packing, codes, np.zeros(500, int), 1, [None])[0, 0]
+    whole = [np.bincount(np.searchsorted(b, rows[:, f]), minlength=len(b) + 1) for f, b in enumerate(packing.bounds) if len(b)]
+    assert packing.width == 2 and sums.tolist() == np.concatenate(whole).tolist()
+
+
+def test_perceptron_passes_are_one_stage(spark):
+    """A fit has a few jobs, not one for each pass; with fewer slots than stored partitions frames are dealt, and it still learns."""
+    rows = _ring(spark)
+    learner = Perceptron(hidden=[16], stepSize=0.03, batch=40, maxIter=40, patience=99, seed=3)
+    tracker = spark.sparkContext.statusTracker()
+    for at_once in (4, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(perceptron, "slots", lambda spark, n=at_once: n)
+            spark.sparkContext.setJobGroup(f"perceptron-{at_once}", "")
+            model = learner.fit(rows)
+            jobs = len(tracker.getJobIdsForGroup(f"perceptron-{at_once}"))
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert 0 < jobs < 12 and model.getOrDefault(model.passes) == 40 and model.getOrDefault(model.heldOutLoss) < 0.3
+
+
 def test_all_learners_train_balanced(parts):
     table, _ = candidates.train_and_evaluate(parts, ["neural_network", "decision_tree"], balanced=True)
     rows = {r["model"]: r for r in table.collect()}
